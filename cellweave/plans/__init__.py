@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ["quality"]
+MODULES = ["quality", "selection", "joins"]
 
 
 def _load() -> None:
