@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ["quality", "selection", "joins"]
+MODULES = ["quality", "selection", "joins", "catalogue", "scalars"]
 
 
 def _load() -> None:
