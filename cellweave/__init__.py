@@ -6,3 +6,10 @@ feature).  Every operator takes and returns DataFrames.
 """
 
 __version__ = "0.1.0"
+
+import sys as _sys
+
+from pyspark import cloudpickle as _cloudpickle
+
+# Task functions travel with the job, so executors need no copy of the package.
+_cloudpickle.register_pickle_by_value(_sys.modules[__name__])

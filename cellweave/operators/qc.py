@@ -188,11 +188,11 @@ def dot_stats(x: DataFrame, obs: DataFrame, group: str) -> DataFrame:
     return means.join(ends, "gene").withColumn("scaled_mean", scaled).drop("_lo", "_hi")
 
 
-def group_moments(x: DataFrame, obs: DataFrame, group: str) -> DataFrame:
+def group_moments(x: DataFrame, obs: DataFrame, group: str, genes: DataFrame | None = None) -> DataFrame:
     """Per gene and group: n cells, non-zero count ``nz``, sum ``s1`` and sum of squares ``s2``.
 
-    Every gene seen in ``x`` gets a row for every group, also where the group
-    has no counts of it.  The matrix is folded to (gene, group) before any row
+    Every gene of ``genes``, or else every gene seen in ``x``, gets a row for
+    every group, also where the group has no counts of it.  The matrix is folded to (gene, group) before any row
     is added, and the groups travel as one small array.
     """
     labels = obs.where(F.col(group).isNotNull())
@@ -208,5 +208,6 @@ def group_moments(x: DataFrame, obs: DataFrame, group: str) -> DataFrame:
         )
     )
     groups = sizes.select(F.collect_list(F.struct(group, "n"))).scalar()
-    grid = seen.select("gene").distinct().select("gene", F.explode(groups).alias("_g")).select("gene", "_g.*")
+    listed = seen.select("gene").distinct() if genes is None else genes.select("gene")
+    grid = listed.select("gene", F.explode(groups).alias("_g")).select("gene", "_g.*")
     return grid.join(seen, ["gene", group], "left").fillna({"nz": 0, "s1": 0.0, "s2": 0.0})

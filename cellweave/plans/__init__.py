@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ["quality", "selection", "joins", "catalogue", "scalars"]
+MODULES = ["quality", "selection", "joins", "catalogue", "scalars", "stacking", "statistics", "graphs"]
 
 
 def _load() -> None:
