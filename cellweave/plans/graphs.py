@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cellweave.operators import neighbours
+from cellweave.operators import embed, neighbours, niches, normalize, qc, variable
 from cellweave.plans import views as v
 from cellweave.plans.registry import query
+from cellweave.session import write_stage
 
 v.add_sql_view(
     "knn6",
@@ -56,3 +57,189 @@ def knn_features(spark, sf):
 )
 def spatial_grid(spark, sf):
     return neighbours.spatial_grid(v.lattice(spark, sf))
+
+
+@query(
+    "remove_long_edges",
+    """SELECT src, dst, round(distance, 8) AS distance FROM knn6 WHERE distance <= (SELECT quantile_cont(distance, 0.99) FROM knn6)""",
+    "knn6",
+)
+def remove_long_edges(spark, sf):
+    edges = write_stage(neighbours.spatial_knn(v.plane(spark, sf), 6), "edges")
+    return niches.drop_long_edges(edges).select("src", "dst", F.round("distance", 8).alias("distance"))
+
+
+v.add_sql_view("sym", "SELECT src, dst FROM knn6 UNION SELECT dst, src FROM knn6", "knn6")
+v.add_sql_view(
+    "hop2",
+    """SELECT DISTINCT a.src, b.dst FROM sym a JOIN sym b ON a.dst = b.src WHERE a.src <> b.dst
+    AND (a.src, b.dst) NOT IN (SELECT (src, dst) FROM sym)""",
+    "sym",
+)
+v.add_sql_view(
+    "hop3",
+    """SELECT DISTINCT a.src, b.dst FROM hop2 a JOIN sym b ON a.dst = b.src WHERE (a.src, b.dst) NOT IN (SELECT (src, dst) FROM sym)
+    AND (a.src, b.dst) NOT IN (SELECT (src, dst) FROM hop2)""",
+    "hop2",
+)
+
+
+@query(
+    "aggregate_neighbors",
+    """SELECT c.cell_id, hop * 64 + p AS pos, round(COALESCE(m, 0), 4) + 0.0 AS value FROM
+    (SELECT cell_id, hop, p FROM rep, (SELECT unnest(range(4)) AS hop), (SELECT unnest(range(64)) AS p)) c LEFT JOIN
+    (SELECT src, h, p AS q, AVG(vec[p + 1]) AS m FROM (SELECT cell_id AS src, cell_id AS dst, 0 AS h FROM rep UNION ALL
+      SELECT src, dst, 1 FROM sym UNION ALL SELECT src, dst, 2 FROM hop2 UNION ALL SELECT src, dst, 3 FROM hop3)
+      JOIN rep ON rep.cell_id = dst, (SELECT unnest(range(64)) AS p) GROUP BY 1, 2, 3) ON src = c.cell_id AND h = hop AND q = p""",
+    "rep hop3",
+)
+def aggregate_neighbors(spark, sf):
+    edges = neighbours.spatial_knn(v.plane(spark, sf), 6)
+    out = niches.niche_vectors(v.representation(spark, sf), edges, 3)
+    return out.select("cell_id", F.posexplode("niche").alias("pos", "value")).select(
+        "cell_id", F.col("pos").cast("long").alias("pos"), (F.round("value", 4) + 0.0).alias("value")
+    )
+
+
+def _knn_edges(spark, sf):
+    return write_stage(neighbours.feature_knn(v.representation(spark, sf), 14), "knn")
+
+
+@query("fuzzy_connectivities")
+def fuzzy_connectivities(spark, sf):
+    return niches.fuzzy_weights(_knn_edges(spark, sf))
+
+
+@query("graph_communities")
+def graph_communities(spark, sf):
+    weights = write_stage(niches.fuzzy_weights(_knn_edges(spark, sf)), "weights")
+    return niches.communities(weights, v.representation(spark, sf), (0.5, 1.0))
+
+
+v.add_sql_view(
+    "ends", "SELECT least(src, dst) AS src, greatest(src, dst) AS dst, 1 / (1 + MAX(distance)) AS w FROM knn6 GROUP BY 1, 2", "knn6"
+)
+v.add_sql_view("lab", "SELECT cell_id, library * 2 + CASE WHEN x > 0 THEN 1 ELSE 0 END AS label FROM space", "space")
+
+
+@query(
+    "graph_modularity",
+    """SELECT resolution::DOUBLE AS resolution, n_communities, round(a - resolution * b, 6) AS modularity FROM
+    (SELECT unnest([0.1, 0.5, 0.6, 0.7, 1.0]) AS resolution), (SELECT COUNT(*) AS n_communities, SUM(i) / MAX(m) AS a,
+     SUM((d / (2 * m)) * (d / (2 * m))) AS b FROM (SELECT l, SUM(w) AS d, SUM(CASE WHEN l = o THEN w ELSE 0 END) / 2 AS i FROM
+      (SELECT x.label AS l, y.label AS o, w FROM ends JOIN lab x ON x.cell_id = src JOIN lab y ON y.cell_id = dst UNION ALL
+       SELECT y.label, x.label, w FROM ends JOIN lab x ON x.cell_id = src JOIN lab y ON y.cell_id = dst) GROUP BY 1),
+     (SELECT SUM(w) AS m FROM ends))""",
+    "ends lab",
+)
+def graph_modularity(spark, sf):
+    space = v.plane(spark, sf)
+    knn = neighbours.spatial_knn(space, 6)
+    edges = (
+        knn.groupBy(F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst"))
+        .agg(F.max("distance").alias("distance"))
+        .select("src", "dst", (1 / (1 + F.col("distance"))).alias("weight"))
+    )
+    labels = space.select("cell_id", F.when(F.col("x") > 0, 1).otherwise(0).alias("_a"), "library").select(
+        "cell_id", (F.col("library") * 2 + F.col("_a")).alias("label")
+    )
+    out = niches.modularity(write_stage(edges, "edges"), labels, (0.1, 0.5, 0.6, 0.7, 1.0))
+    return out.withColumn("modularity", F.round("modularity", 6))
+
+
+v.add_sql_view(
+    "two_labels",
+    """SELECT cell_id, sample, n_genes_by_counts % 4 AS rna_label, CASE WHEN p > 300000 THEN 'high' WHEN p > 100000 THEN 'mid' ELSE 'low' END
+    AS protein_label FROM metrics LEFT JOIN (SELECT cell_id, SUM(value) AS p FROM px GROUP BY 1) USING (cell_id)""",
+    "metrics px",
+)
+
+
+def _two_labels(spark, sf):
+    rna = qc.cell_metrics(v.counts(spark, sf), v.cells(spark, sf)).select(
+        "cell_id", "sample", (F.col("n_genes_by_counts") % 4).alias("rna_label")
+    )
+    total = v.intensity(spark, sf).groupBy("cell_id").agg(F.sum("value").alias("p"))
+    protein = F.when(F.col("p") > 300000, "high").when(F.col("p") > 100000, "mid").otherwise("low")
+    return rna.join(total, "cell_id", "left").withColumn("protein_label", protein).drop("p")
+
+
+@query(
+    "cluster_sizes",
+    """SELECT sample, rna_label, n, COUNT(*) OVER (PARTITION BY sample) AS n_clusters FROM
+    (SELECT sample, rna_label, COUNT(*) AS n FROM two_labels GROUP BY 1, 2) ORDER BY sample, n DESC""",
+    "two_labels",
+)
+def cluster_sizes(spark, sf):
+    labels = _two_labels(spark, sf)
+    sizes = labels.groupBy("sample", "rna_label").agg(F.count("*").alias("n"))
+    clusters = labels.groupBy("sample").agg(F.count_distinct("rna_label").alias("n_clusters"))
+    return sizes.join(clusters, "sample").orderBy("sample", F.desc("n"))
+
+
+@query(
+    "modality_label_compare",
+    "SELECT rna_label, protein_label, COUNT(*) AS n FROM two_labels GROUP BY 1, 2",
+    "two_labels",
+)
+def modality_label_compare(spark, sf):
+    return _two_labels(spark, sf).groupBy("rna_label", "protein_label").agg(F.count("*").alias("n"))
+
+
+@query(
+    "gram_matrix",
+    """SELECT i.gene AS gene_i, j.gene AS gene_j, COALESCE(s, 0.0) AS xtx, round((COALESCE(s, 0) - si * sj / n) / (n - 1), 8) AS covariance FROM
+    (SELECT gene, SUM(value) AS si FROM x JOIN var USING (gene) WHERE size = 50 GROUP BY 1) i JOIN
+    (SELECT gene, SUM(value) AS sj FROM x JOIN var USING (gene) WHERE size = 50 GROUP BY 1) j ON i.gene <= j.gene
+    LEFT JOIN (SELECT a.gene AS ga, b.gene AS gb, SUM(a.value * b.value) AS s FROM x a JOIN x b ON a.cell_id = b.cell_id AND a.gene <= b.gene
+     WHERE a.gene IN (SELECT gene FROM var WHERE size = 50) AND b.gene IN (SELECT gene FROM var WHERE size = 50) GROUP BY 1, 2)
+    ON ga = i.gene AND gb = j.gene, (SELECT COUNT(*) AS n FROM obs)""",
+    "x var obs",
+)
+def gram_matrix(spark, sf):
+    panel = v.features(spark, sf).where("size = 50")
+    out = embed.gram_pairs(v.counts(spark, sf), panel, v.cells(spark, sf))
+    return out.withColumn("covariance", F.round("covariance", 8))
+
+
+def _panel(spark, sf, n=100):
+    """Highly variable panel on log-normalised counts."""
+    log_x = normalize.lognorm(v.counts(spark, sf))
+    chosen = variable.dispersion_genes(log_x, v.cells(spark, sf), v.features(spark, sf), n).where("highly_variable")
+    return log_x, chosen.orderBy(F.desc("dispersion_norm"), "gene").limit(n)
+
+
+@query("pca_embed")
+def pca_embed(spark, sf):
+    log_x, panel = _panel(spark, sf)
+    scores, ratios = embed.pca(log_x, v.cells(spark, sf), panel, 30)
+    return scores.select("cell_id", *[F.col("pcs")[i].alias(f"pc{i + 1}") for i in range(len(ratios))])
+
+
+@query("svd_embed")
+def svd_embed(spark, sf):
+    log_x, panel = _panel(spark, sf)
+    found, values = embed.svd(log_x, v.cells(spark, sf), panel, 20)
+    return found.select("cell_id", *[F.col("components")[i].alias(f"svd{i + 1}") for i in range(len(values))])
+
+
+@query("kmeans_clusters")
+def kmeans_clusters(spark, sf):
+    return embed.kmeans(embed.pca_vectors(v.representation(spark, sf), 20).select("cell_id", "features"))
+
+
+def _niche_features(spark, sf):
+    """Niche vectors reduced to ten components, staged for repeated fits."""
+    edges = niches.drop_long_edges(write_stage(neighbours.spatial_knn(v.plane(spark, sf), 6), "edges"))
+    vectors = niches.niche_vectors(v.representation(spark, sf), edges, 3)
+    return write_stage(embed.pca_vectors(vectors, 10, "niche").select("cell_id", "features"), "niches")
+
+
+@query("gmm_niches")
+def gmm_niches(spark, sf):
+    return embed.gmm_labels(_niche_features(spark, sf), (5, 7, 10))
+
+
+@query("gmm_bic_aic")
+def gmm_bic_aic(spark, sf):
+    return embed.gmm_criteria(_niche_features(spark, sf), 10, (5, 7, 10))
