@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ["quality", "selection", "joins", "catalogue", "scalars", "stacking", "statistics", "graphs"]
+MODULES = ["quality", "selection", "joins", "catalogue", "scalars", "stacking", "statistics", "graphs", "scans", "streams"]
 
 
 def _load() -> None:
