@@ -18,16 +18,16 @@ def stack(parts: dict[str, DataFrame], label: str) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), labelled)
 
 
-def common_features(x: DataFrame, sample: str, feature: str = "gene") -> DataFrame:
-    """Features that occur in every sample."""
+def common_features(x: DataFrame, obs: DataFrame, sample: str, feature: str = "gene") -> DataFrame:
+    """Features that occur in every sample of ``obs``."""
     pairs = x.select(sample, feature).distinct()
-    n = pairs.select(F.count_distinct(sample)).scalar()
+    n = obs.select(F.count_distinct(sample)).scalar()
     return pairs.groupBy(feature).agg(F.count("*").alias("_n")).where(F.col("_n") == n).select(feature)
 
 
-def inner_features(x: DataFrame, sample: str) -> DataFrame:
+def inner_features(x: DataFrame, obs: DataFrame, sample: str) -> DataFrame:
     """Matrix rows of the features that every sample has."""
-    return x.join(common_features(x, sample), "gene", "left_semi")
+    return x.join(common_features(x, obs, sample), "gene", "left_semi")
 
 
 def outer_totals(x: DataFrame, obs: DataFrame, sample: str) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from cellweave.functions.probability import normal_p, student_p
 from cellweave.operators.ordering import bh_adjust, value_positions
 from cellweave.operators.qc import group_moments
+from cellweave.session import write_stage
 
 
 def welch(log_x: DataFrame, obs: DataFrame, group: str, genes: DataFrame | None = None) -> DataFrame:
@@ -51,17 +52,19 @@ def welch_tests(log_x: DataFrame, obs: DataFrame, group: str, genes: DataFrame |
 def _rank_sums(counts: DataFrame, keys: list[str], sizes: DataFrame, side: str) -> DataFrame:
     """Rank sums of one side from folded counts.
 
-    ``counts``: (keys, side, value, n) over non-zero values; ``sizes``: (keys,
+    ``counts``: staged (keys, side, value, n) over non-zero values; ``sizes``: (keys,
     side, n1, n_all).  The zeros of all cells share the lowest ranks.
     """
-    placed = value_positions(counts, keys, "value", "n").select(
-        *keys, "value", (F.col("before") + (F.col("n") + 1) / 2).alias("_rank"), F.col("total").alias("_nnz")
+    placed = value_positions(counts, keys, "value", "n", staged=True)
+    rank = F.col("before") + (F.col("at") + 1) / 2
+    sums = write_stage(
+        placed.groupBy(*keys, side).agg(
+            F.sum(F.col("n") * rank).alias("_r"), F.sum("n").alias("_mine"), F.max("total").alias("_nnz")
+        ),
+        "rank-sums",
     )
-    ranked = counts.join(placed, [*keys, "value"])
-    sums = ranked.groupBy(*keys, side).agg(
-        F.sum(F.col("n") * F.col("_rank")).alias("_r"), F.sum("n").alias("_mine"),
-    )
-    seen = placed.groupBy(*keys).agg(F.max("_nnz").alias("_nnz"))
+    seen = sums.groupBy(*keys).agg(F.max("_nnz").alias("_nnz"))
+    sums = sums.drop("_nnz")
     full = sizes.join(seen, keys, "left").join(sums, [*keys, side], "left").fillna(0, ["_nnz", "_r", "_mine"])
     zeros = F.col("n_all") - F.col("_nnz")
     total = (F.col("n1") - F.col("_mine")) * (zeros + 1) / 2 + F.col("_r") + F.col("_mine") * zeros
@@ -82,8 +85,9 @@ def rank_sum(
     folded = (
         x.where("value <> 0").join(labels, "cell_id").groupBy("gene", "value", group).agg(F.count("*").alias("n"))
     )
+    folded = write_stage(folded, "folded")
     sizes = labels.groupBy(group).agg(F.count("*").alias("n1"))
-    listed = (x.where("value <> 0") if genes is None else genes).select("gene").distinct()
+    listed = (folded if genes is None else genes).select("gene").distinct()
     if reference is None:
         whole = sizes.select(F.collect_list(F.struct(group, "n1"))).scalar()
         n_all = sizes.select(F.sum("n1")).scalar()

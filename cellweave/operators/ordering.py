@@ -59,36 +59,33 @@ def _range_offsets(totals: DataFrame, keys: list[str], column: str) -> DataFrame
     )
 
 
-def value_positions(counts: DataFrame, keys: list[str], value: str, n: str) -> DataFrame:
-    """Place every distinct value of each key on the key's sorted axis.
+def value_positions(counts: DataFrame, keys: list[str], value: str, n: str, staged: bool = False) -> DataFrame:
+    """Place every row ``(keys, value, n, ...)``, ``n`` copies of a value, on its key's sorted axis.
 
-    ``counts`` holds ``(keys, value, n)`` with ``n`` copies of the value; several
-    rows of the same value are added up and the result is staged once, so the
-    source is read a single time.  Returns ``keys, value, n, before,
-    total, _range``: ``before`` copies are smaller and the key has ``total``.
+    Adds ``before`` (copies of smaller values in the key), ``at`` (copies of this
+    value, over all its rows), ``total`` (copies in the key) and ``_range``.  The
+    rows are staged once, unless they are ``staged`` already, so the source is read
+    a single time; null values and empty counts are left out.
     """
-    folded = counts.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.sum(n).alias("n")).where("n > 0")
-    folded = write_stage(folded, "positions")
-    if folded.count() <= ONE_TASK_ROWS:
-        whole = W.partitionBy(*keys)
-        below = F.sum("n").over(whole.orderBy(value).rowsBetween(W.unboundedPreceding, 0)) - F.col("n")
-        return folded.select(
-            *keys, value, "n", below.alias("before"), F.sum("n").over(whole).alias("total"), F.lit(0.0).alias(RANGE)
+    rows = counts.where(F.col(value).isNotNull() & (F.col(n) > 0))
+    if not staged:
+        rows = write_stage(rows, "positions")
+    if rows.count() <= ONE_TASK_ROWS:
+        return _placed(rows, keys, value, n, W.partitionBy(*keys)).withColumns(
+            {"total": F.sum(n).over(W.partitionBy(*keys)), RANGE: F.lit(0.0)}
         )
-    folded = with_range(folded, value)
-    totals = folded.groupBy(*keys, RANGE).agg(F.sum("n").alias("_n"))
-    offsets = _range_offsets(totals, keys, "_n")
-    local = W.partitionBy(*keys, RANGE).orderBy(value)
-    placed = folded.withColumn("_local", F.sum("n").over(local.rowsBetween(W.unboundedPreceding, 0)) - F.col("n"))
-    joined = placed.alias("p").join(offsets.alias("o"), on=_same([*keys, RANGE]), how="inner")
-    return joined.select(
-        *[F.col(f"p.{k}") for k in keys],
-        F.col(f"p.{value}"),
-        F.col("p.n"),
-        (F.col("p._local") + F.col("o._lower")).alias("before"),
-        F.col("o.total"),
-        F.col(f"p.{RANGE}"),
-    )
+    ranged = with_range(rows, value)
+    offsets = _range_offsets(ranged.groupBy(*keys, RANGE).agg(F.sum(n).alias("_n")), keys, "_n")
+    local = _placed(ranged, keys, value, n, W.partitionBy(*keys, RANGE))
+    joined = local.alias("p").join(offsets.alias("o"), on=_same([*keys, RANGE]), how="inner")
+    return joined.select("p.*", "o._lower", "o.total").withColumn("before", F.col("before") + F.col("_lower")).drop("_lower")
+
+
+def _placed(rows: DataFrame, keys: list[str], value: str, n: str, part) -> DataFrame:
+    """``before`` and ``at`` within one window partition; equal values share both."""
+    same = part.orderBy(value).rangeBetween(W.currentRow, W.currentRow)
+    upto = part.orderBy(value).rangeBetween(W.unboundedPreceding, W.currentRow)
+    return rows.withColumn("at", F.sum(n).over(same)).withColumn("before", F.sum(n).over(upto) - F.col("at"))
 
 
 def _same(columns: list[str]) -> Column:
@@ -125,7 +122,7 @@ def quantiles(
             place = F.lit(float(prob)) * (F.col("total") - 1)
             mine = F.col("_metric") == column
             for side, index in (("lo", F.floor(place)), ("hi", F.ceil(place))):
-                inside = mine & (F.col("before") <= index) & (index < F.col("before") + F.col("n"))
+                inside = mine & (F.col("before") <= index) & (index < F.col("before") + F.col("at"))
                 picks.append(F.max(F.when(inside, F.col("_value"))).alias(f"_{side}_{_name(column, prob)}"))
             picks.append(F.max(F.when(mine, place - F.floor(place))).alias(f"_part_{_name(column, prob)}"))
     found = placed.groupBy(*keys).agg(*picks)
@@ -164,8 +161,16 @@ def number_rows(df: DataFrame, keys: list[str], order: str, ties: list[str] | No
 
 
 def first_n(df: DataFrame, order: str, n: int) -> DataFrame:
-    """The first ``n`` rows along a unique numeric column, kept spread over all tasks."""
-    return number_rows(df, [], order, name="_row_no").where(F.col("_row_no") <= n).drop("_row_no")
+    """The first ``n`` rows along a unique numeric column.
+
+    A long cut is found on the ordered column alone and then applied as a
+    filter, so the kept rows stay spread over all tasks.
+    """
+    if n <= ONE_TASK_ROWS:
+        return df.orderBy(order).limit(n)
+    placed = value_positions(df.select(order, F.lit(1).alias("_n")), [], order, "_n")
+    cut = placed.where(F.col("before") < n).select(F.max(order)).scalar()
+    return df.where(F.col(order) <= cut)
 
 
 def bh_adjust(df: DataFrame, keys: list[str], p: str, name: str = "p_adj") -> DataFrame:
@@ -176,7 +181,7 @@ def bh_adjust(df: DataFrame, keys: list[str], p: str, name: str = "p_adj") -> Da
     """
     counts = df.groupBy(*keys, p).agg(F.count("*").alias("_n"))
     placed = value_positions(counts, keys, p, "_n").withColumn(
-        "_raw", F.col(p) * F.col("total") / (F.col("before") + F.col("n"))
+        "_raw", F.col(p) * F.col("total") / (F.col("before") + F.col("at"))
     )
     from_top = W.partitionBy(*keys, RANGE).orderBy(F.desc(p)).rowsBetween(W.unboundedPreceding, 0)
     placed = placed.withColumn("_inside", F.min("_raw").over(from_top))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from cellweave.operators.ordering import quantiles
+from cellweave.session import write_stage
 
 
 def n_rows(df: DataFrame) -> Column:
@@ -83,7 +84,11 @@ def top_share(x: DataFrame, obs: DataFrame, tops: Sequence[int] = (50, 100, 200,
 
 
 def sample_summary(metrics: DataFrame, sample: str = "sample", area: str = "area") -> DataFrame:
-    """Per sample: number of cells, means and exact medians of counts, genes and area."""
+    """Per sample: number of cells, means and exact medians of counts, genes and area.
+
+    The three columns are staged once: means and medians are two passes over them.
+    """
+    metrics = write_stage(metrics.select(sample, "total_counts", "n_genes_by_counts", area), "metrics")
     means = metrics.where(F.col(sample).isNotNull()).groupBy(sample).agg(
         F.count("*").alias("n_cells"),
         F.avg("total_counts").alias("mean_total_counts"),
@@ -192,8 +197,8 @@ def group_moments(x: DataFrame, obs: DataFrame, group: str, genes: DataFrame | N
     """Per gene and group: n cells, non-zero count ``nz``, sum ``s1`` and sum of squares ``s2``.
 
     Every gene of ``genes``, or else every gene seen in ``x``, gets a row for
-    every group, also where the group has no counts of it.  The matrix is folded to (gene, group) before any row
-    is added, and the groups travel as one small array.
+    every group, also where the group has no counts of it.  The matrix is read once, folded to (gene, group) and
+    staged; the groups travel as one small array.
     """
     labels = obs.where(F.col(group).isNotNull())
     sizes = labels.groupBy(group).agg(F.count("*").alias("n"))
@@ -207,6 +212,7 @@ def group_moments(x: DataFrame, obs: DataFrame, group: str, genes: DataFrame | N
             F.sum(F.col("value") * F.col("value")).alias("s2"),
         )
     )
+    seen = write_stage(seen, "moments")
     groups = sizes.select(F.collect_list(F.struct(group, "n"))).scalar()
     listed = seen.select("gene").distinct() if genes is None else genes.select("gene")
     grid = listed.select("gene", F.explode(groups).alias("_g")).select("gene", "_g.*")

@@ -65,14 +65,16 @@ def by_category(df: DataFrame, column: str, order: Sequence[str], aggregates: di
 
 
 def clip_at_quantile(x: DataFrame, prob: float = 0.98, key: str = "gene") -> DataFrame:
-    """Colour value in 0..1: non-zero values clipped at their quantile per gene, drawn in order of value."""
+    """Colour value in 0..1: non-zero values clipped at their quantile per gene.
+
+    Sort the genes that are drawn by ``value``; the whole table is not sorted.
+    """
     shown = x.where("value > 0")
     top = quantiles(shown, [key], ["value"], [prob])
     vmax = [c for c in top.columns if c != key][0]
     return (
         shown.join(top.withColumnRenamed(vmax, "vmax"), key)
         .withColumn("shade", F.least("value", "vmax") / F.greatest(F.col("vmax"), F.lit(1e-9)))
-        .orderBy("value")
     )
 
 

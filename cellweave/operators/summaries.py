@@ -63,7 +63,8 @@ def distinct_by_group(df: DataFrame, groups: Sequence[str], column: str) -> Data
 def histogram(df: DataFrame, column: str, bins: int = 50) -> DataFrame:
     """Equal-width histogram between the extremes; the last bin holds the maximum; empty bins are kept."""
     kept = df.where(F.col(column).isNotNull()).select(F.col(column).cast("double").alias("_v"))
-    low, high = kept.select(F.min("_v")).scalar(), kept.select(F.max("_v")).scalar()
+    ends = kept.select(F.struct(F.min("_v").alias("low"), F.max("_v").alias("high"))).scalar()
+    low, high = ends["low"], ends["high"]
     width = (high - low) / bins
     index = F.coalesce(F.floor(F.try_divide(F.col("_v") - low, width)), F.lit(0))
     counted = kept.groupBy(F.least(F.lit(bins - 1), index).cast("long").alias("bin")).agg(F.count("*").alias("n"))

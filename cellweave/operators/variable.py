@@ -6,14 +6,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from cellweave.operators.qc import n_rows, one_row
+from cellweave.operators.qc import n_rows
+from cellweave.session import write_stage
 
 # Fixed value: number of mean-expression bins.
 BINS = 20
 
 
 def _dispersions(moments: DataFrame, by: list[str]) -> DataFrame:
-    """Normalised dispersion from rows (by, gene, n, s1, s2) of back-transformed values."""
+    """Normalised dispersion from rows (by, gene, n, s1, s2) of back-transformed values.
+
+    The gene sums are staged: all later steps read one row per gene.
+    """
+    moments = write_stage(moments, "dispersions")
     mean = F.col("s1") / F.col("n")
     var = (F.col("s2") - F.col("n") * mean * mean) / (F.col("n") - 1)
     stats = (
@@ -99,6 +104,7 @@ def standardized_variance(x: DataFrame, obs: DataFrame) -> DataFrame:
     """
     n = n_rows(obs)
     sums = x.groupBy("gene").agg(F.sum("value").alias("_s1"), F.sum(F.col("value") * F.col("value")).alias("_s2"))
+    sums = write_stage(sums, "sums")
     stats = sums.withColumn("mean", F.col("_s1") / n).withColumn(
         "variance", (F.col("_s2") - n * F.col("mean") * F.col("mean")) / (n - 1)
     )
@@ -115,6 +121,7 @@ def standardized_variance(x: DataFrame, obs: DataFrame) -> DataFrame:
     expected = fitted.withColumn(
         "reg_sd", F.sqrt(F.pow(F.lit(10.0), F.col("_a0") + F.col("_a1") * u + F.col("_a2") * u * u))
     ).select("gene", "mean", "variance", "reg_sd", (F.col("mean") + F.col("reg_sd") * F.sqrt(n)).alias("_cap"))
+    expected = write_stage(expected, "expected")
     capped = F.least("value", "_cap")
     sums2 = x.join(expected.select("gene", "_cap"), "gene").groupBy("gene").agg(
         F.sum(capped).alias("_k1"), F.sum(capped * capped).alias("_k2")

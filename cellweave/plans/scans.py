@@ -9,7 +9,7 @@ from cellweave.operators import catalog as cat
 from cellweave.operators import checks, qc
 from cellweave.plans import views as v
 from cellweave.plans.registry import query
-from cellweave.session import scratch_path
+from cellweave.session import scratch_path, write_stage
 from cellweave.sources import manifest, sinks, text
 
 
@@ -67,7 +67,7 @@ def _ordered_text(df, spark, label, order, by=None):
 
 def _matrix_lines(spark, sf, order):
     """The count matrix as Matrix Market lines: banner, comment, size line, then 1-based entries."""
-    x = v.counts(spark, sf)
+    x = write_stage(v.counts(spark, sf), "counts")
     n_genes, n_cells = qc.n_rows(v.features(spark, sf)), qc.n_rows(v.cells(spark, sf))
     head = x.agg(F.count("*").alias("nnz")).select(
         F.explode(

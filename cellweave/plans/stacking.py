@@ -26,7 +26,7 @@ def _xs(spark, sf):
     "xs",
 )
 def concat_inner(spark, sf):
-    return concat.inner_features(_xs(spark, sf), "batch").select("batch", "cell_id", "gene", "value")
+    return concat.inner_features(_xs(spark, sf), v.cells(spark, sf), "batch").select("batch", "cell_id", "gene", "value")
 
 
 @query(
@@ -109,7 +109,7 @@ def concat_uns_merge(spark, sf):
     "xs",
 )
 def set_common_features(spark, sf):
-    return concat.common_features(_xs(spark, sf), "batch")
+    return concat.common_features(_xs(spark, sf), v.cells(spark, sf), "batch")
 
 
 @query(
@@ -172,7 +172,7 @@ def global_gene_ranking(spark, sf):
         "batch", "gene", F.when(F.col("n") > 3, F.col("s") / F.col("n")).alias("score"), (F.col("n") >= 8).alias("hvg")
     )
     atac = v.table(spark, sf, "lineitem").where("l_returnflag = 'R'").select(F.col("l_partkey").alias("gene"))
-    eligible = concat.common_features(xs, "batch").join(atac, "gene", "left_semi")
+    eligible = concat.common_features(xs, v.cells(spark, sf), "batch").join(atac, "gene", "left_semi")
     out = ranking.global_gene_list(scores, eligible, 100)
     return out.withColumn("mean_score", F.round("mean_score", 6))
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from cellweave.operators import filters, markers, normalize, ordering, variable
 from cellweave.plans import views as v
 from cellweave.plans.registry import query
+from cellweave.session import write_stage
 
 v.add_sql_view(
     "normed",
@@ -57,7 +58,7 @@ def q3_normalize(spark, sf):
         .groupBy("roi", "gene").agg(F.sum("value").alias("value"))
     )
     regions = obs.select(F.col("sample").alias("roi")).distinct()
-    out = normalize.q3_normalize(roi, regions, v.features(spark, sf), key="roi")
+    out = normalize.q3_normalize(write_stage(roi, "roi"), regions, v.features(spark, sf), key="roi")
     return out.select("roi", "gene", "q3", F.round("q3_norm", 4).alias("q3_norm"), F.round("lognorm", 4).alias("lognorm"))
 
 
