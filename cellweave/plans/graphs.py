@@ -124,7 +124,7 @@ v.add_sql_view("lab", "SELECT cell_id, library * 2 + CASE WHEN x > 0 THEN 1 ELSE
 
 @query(
     "graph_modularity",
-    """SELECT resolution::DOUBLE AS resolution, n_communities, round(a - resolution * b, 6) AS modularity FROM
+    """SELECT resolution::DOUBLE AS resolution, n_communities, round(a - resolution * b, 6) + 0.0 AS modularity FROM
     (SELECT unnest([0.1, 0.5, 0.6, 0.7, 1.0]) AS resolution), (SELECT COUNT(*) AS n_communities, SUM(i) / MAX(m) AS a,
      SUM((d / (2 * m)) * (d / (2 * m))) AS b FROM (SELECT l, SUM(w) AS d, SUM(CASE WHEN l = o THEN w ELSE 0 END) / 2 AS i FROM
       (SELECT x.label AS l, y.label AS o, w FROM ends JOIN lab x ON x.cell_id = src JOIN lab y ON y.cell_id = dst UNION ALL
@@ -144,7 +144,7 @@ def graph_modularity(spark, sf):
         "cell_id", (F.col("library") * 2 + F.col("_a")).alias("label")
     )
     out = niches.modularity(write_stage(edges, "edges"), labels, (0.1, 0.5, 0.6, 0.7, 1.0))
-    return out.withColumn("modularity", F.round("modularity", 6))
+    return out.withColumn("modularity", F.round("modularity", 6) + 0.0)
 
 
 v.add_sql_view(
@@ -188,7 +188,7 @@ def modality_label_compare(spark, sf):
 
 @query(
     "gram_matrix",
-    """SELECT i.gene AS gene_i, j.gene AS gene_j, COALESCE(s, 0.0) AS xtx, round((COALESCE(s, 0) - si * sj / n) / (n - 1), 8) AS covariance FROM
+    """SELECT i.gene AS gene_i, j.gene AS gene_j, COALESCE(s, 0.0) AS xtx, round((COALESCE(s, 0) - si * sj / n) / (n - 1), 8) + 0.0 AS covariance FROM
     (SELECT gene, SUM(value) AS si FROM x JOIN var USING (gene) WHERE size = 50 GROUP BY 1) i JOIN
     (SELECT gene, SUM(value) AS sj FROM x JOIN var USING (gene) WHERE size = 50 GROUP BY 1) j ON i.gene <= j.gene
     LEFT JOIN (SELECT a.gene AS ga, b.gene AS gb, SUM(a.value * b.value) AS s FROM x a JOIN x b ON a.cell_id = b.cell_id AND a.gene <= b.gene
@@ -199,7 +199,7 @@ def modality_label_compare(spark, sf):
 def gram_matrix(spark, sf):
     panel = v.features(spark, sf).where("size = 50")
     out = embed.gram_pairs(v.counts(spark, sf), panel, v.cells(spark, sf))
-    return out.withColumn("covariance", F.round("covariance", 8))
+    return out.withColumn("covariance", F.round("covariance", 8) + 0.0)
 
 
 def _panel(spark, sf, n=100):

@@ -66,13 +66,13 @@ def query_from_stem(spark, sf):
 
 @query(
     "px_to_um",
-    """SELECT cell_id, library, round(x * 0.12, 6) AS x_um, round(MAX(y) OVER (PARTITION BY library) - y, 6) AS y_flipped FROM space""",
+    """SELECT cell_id, library, round(x * 0.12, 6) + 0.0 AS x_um, round(MAX(y) OVER (PARTITION BY library) - y, 6) AS y_flipped FROM space""",
     "space",
 )
 def px_to_um(spark, sf):
     flipped = numeric.flip_y(v.plane(spark, sf), "library")
     return flipped.select(
-        "cell_id", "library", F.round(numeric.to_um(F.col("x")), 6).alias("x_um"), F.round("y_flipped", 6).alias("y_flipped")
+        "cell_id", "library", (F.round(numeric.to_um(F.col("x")), 6) + 0.0).alias("x_um"), F.round("y_flipped", 6).alias("y_flipped")
     )
 
 

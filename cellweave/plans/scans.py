@@ -65,9 +65,8 @@ def _ordered_text(df, spark, label, order, by=None):
     return path
 
 
-def _matrix_lines(spark, sf, order):
+def _matrix_lines(spark, sf, x, order):
     """The count matrix as Matrix Market lines: banner, comment, size line, then 1-based entries."""
-    x = write_stage(v.counts(spark, sf), "counts")
     n_genes, n_cells = qc.n_rows(v.features(spark, sf)), qc.n_rows(v.cells(spark, sf))
     head = x.agg(F.count("*").alias("nnz")).select(
         F.explode(
@@ -83,8 +82,9 @@ def _matrix_lines(spark, sf, order):
     return head.unionByName(x.select(F.col(first).alias("a"), F.col(second).alias("b"), line.alias("value")))
 
 
-def _matrix(spark, sf, order=("cell_id", "gene")):
-    path = _ordered_text(_matrix_lines(spark, sf, order), spark, "matrix", ["a", "b"])
+def _matrix(spark, sf, x=None, order=("cell_id", "gene")):
+    x = write_stage(v.counts(spark, sf), "counts") if x is None else x
+    path = _ordered_text(_matrix_lines(spark, sf, x, order), spark, "matrix", ["a", "b"])
     return text.matrix_market(text.read_lines(spark, path))
 
 
@@ -111,8 +111,11 @@ def check_shape_match(spark, sf):
     "x",
 )
 def check_sorted_columns(spark, sf):
+    x = write_stage(v.counts(spark, sf), "counts")
+
     def report(layout, order):
-        entries, _ = _matrix(spark, sf, order)
+        entries, _ = _matrix(spark, sf, x, order)
+        entries = write_stage(entries.select("folder", "file", "block", "seq", "col"), "columns")
         wrong = text.unordered_lines(entries, "col").select(F.count("*")).scalar()
         return entries.agg(F.count("*").alias("n_entries")).select(F.lit(layout).alias("layout"), "n_entries", (wrong == 0).alias("sorted"))
 
@@ -139,7 +142,7 @@ def scan_10x_triplet(spark, sf):
 @query(
     "scan_tissue_positions",
     """SELECT layout, 'S' || cell_id AS barcode, in_tissue, array_row::INT AS array_row, array_col::INT AS array_col,
-    round(pxl_row, 6) AS pxl_row_in_fullres, round(pxl_col, 6) AS pxl_col_in_fullres FROM spots,
+    round(pxl_row, 6) + 0.0 AS pxl_row_in_fullres, round(pxl_col, 6) + 0.0 AS pxl_col_in_fullres FROM spots,
     (SELECT unnest(['bare', 'hd', 'header']) AS layout)""",
     "spots",
 )
@@ -166,6 +169,7 @@ def _profile(spark, sf):
         v.counts(spark, sf).join(v.cells(spark, sf).select("cell_id", "sample"), "cell_id")
         .groupBy("sample", "gene").agg(F.sum("value").cast("int").alias("n"))
     )
+    counts = write_stage(counts, "probes")
     region = F.concat(F.lit("GSM"), F.regexp_extract("sample", r"(\d+)$", 1), F.lit("_DSP"))
     reads = counts.groupBy("sample").agg(F.sum("n").alias("raw"), F.max("n").alias("aligned"))
     head = [
@@ -196,7 +200,7 @@ def _profile(spark, sf):
 def scan_dcc(spark, sf):
     lines = text.read_lines(spark, _profile(spark, sf) + "/*")
     tagged = lines.withColumn("folder", F.regexp_replace("folder", "^region=", ""))
-    fields = text.dcc_fields(tagged)
+    fields = write_stage(text.dcc_fields(tagged), "fields")
     regions = text.dcc_regions(fields).drop("folder")
     return text.dcc_counts(fields).join(regions, "gsm_id")
 

@@ -217,8 +217,8 @@ def drop_mt_genes(spark, sf):
 
 @query(
     "bbox_zoom",
-    """SELECT s.library, cell_id, round(x0, 6) AS zoom_x0, round(x1, 6) AS zoom_x1, round(y0, 6) AS zoom_y0,
-    round(y1, 6) AS zoom_y1 FROM space s JOIN
+    """SELECT s.library, cell_id, round(x0, 6) + 0.0 AS zoom_x0, round(x1, 6) + 0.0 AS zoom_x1, round(y0, 6) + 0.0 AS zoom_y0,
+    round(y1, 6) + 0.0 AS zoom_y1 FROM space s JOIN
     (SELECT library, MIN(x) - 0.25 * (MAX(x) - MIN(x)) AS x0, MAX(x) + 0.25 * (MAX(x) - MIN(x)) AS x1,
     MIN(y) - 0.45 * (MAX(y) - MIN(y)) AS y0, MAX(y) + 0.45 * (MAX(y) - MIN(y)) AS y1
     FROM space WHERE abs(x) < 0.05 AND abs(y) < 0.05 GROUP BY 1) b ON s.library = b.library
@@ -229,7 +229,7 @@ def bbox_zoom(spark, sf):
     space = v.plane(spark, sf)
     region = space.where((F.abs("x") < 0.05) & (F.abs("y") < 0.05))
     seen = filters.cells_in_view(space, filters.zoom_boxes(region, "library"), "library")
-    ends = [F.round(c, 6).alias(c) for c in ("zoom_x0", "zoom_x1", "zoom_y0", "zoom_y1")]
+    ends = [(F.round(c, 6) + 0.0).alias(c) for c in ("zoom_x0", "zoom_x1", "zoom_y0", "zoom_y1")]
     return seen.select("library", "cell_id", *ends)
 
 

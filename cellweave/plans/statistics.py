@@ -64,7 +64,7 @@ def q3_normalize(spark, sf):
 
 @query(
     "zscale_clip",
-    """SELECT cell_id, gene, round(greatest(-10, least(10, (value - m) / s)), 4) AS z, round(greatest(-10, least(10, -m / s)), 4) AS z_zero
+    """SELECT cell_id, gene, round(greatest(-10, least(10, (value - m) / s)), 4) + 0.0 AS z, round(greatest(-10, least(10, -m / s)), 4) + 0.0 AS z_zero
     FROM (SELECT cell_id, gene, asinh(value / 5) AS value FROM px) JOIN (SELECT gene, m, sqrt((s2 - n * m * m) / (n - 1)) AS s FROM
     (SELECT gene, SUM(asinh(value / 5)) / (SELECT COUNT(*) FROM obs) AS m, SUM(asinh(value / 5) * asinh(value / 5)) AS s2,
     (SELECT COUNT(*) FROM obs) AS n FROM px GROUP BY 1)) USING (gene)""",
@@ -73,7 +73,7 @@ def q3_normalize(spark, sf):
 def zscale_clip(spark, sf):
     scaled = v.intensity(spark, sf).select("cell_id", "gene", F.asinh(F.col("value") / 5).alias("value"))
     out = normalize.zscale(scaled, v.cells(spark, sf))
-    return out.select("cell_id", "gene", F.round("z", 4).alias("z"), F.round("z_zero", 4).alias("z_zero"))
+    return out.select("cell_id", "gene", (F.round("z", 4) + 0.0).alias("z"), (F.round("z_zero", 4) + 0.0).alias("z_zero"))
 
 
 def _dispersion_sql(moments, by):
@@ -121,7 +121,7 @@ def _hvg(spark, sf, n_top=200):
 
 @query(
     "hvg_dispersion",
-    """SELECT gene, round(mean, 6) AS mean, round(dispersion, 6) AS dispersion, bin, round(norm, 4) AS dispersion_norm,
+    """SELECT gene, round(mean, 6) + 0.0 AS mean, round(dispersion, 6) + 0.0 AS dispersion, bin, round(norm, 4) + 0.0 AS dispersion_norm,
     COALESCE(round(norm, 9) >= (SELECT round(MIN(norm), 9) FROM (SELECT norm FROM dispersions WHERE norm IS NOT NULL ORDER BY norm DESC LIMIT 200)), FALSE)
     AS highly_variable FROM dispersions""",
     "dispersions",
@@ -129,8 +129,8 @@ def _hvg(spark, sf, n_top=200):
 def hvg_dispersion(spark, sf):
     out = _hvg(spark, sf)
     return out.select(
-        "gene", F.round("mean", 6).alias("mean"), F.round("dispersion", 6).alias("dispersion"), "bin",
-        F.round("dispersion_norm", 4).alias("dispersion_norm"), "highly_variable",
+        "gene", (F.round("mean", 6) + 0.0).alias("mean"), (F.round("dispersion", 6) + 0.0).alias("dispersion"), "bin",
+        (F.round("dispersion_norm", 4) + 0.0).alias("dispersion_norm"), "highly_variable",
     )
 
 
@@ -148,7 +148,7 @@ def select_hvg_subset(spark, sf):
 
 @query(
     "hvg_dispersion_batched",
-    """SELECT gene, nb AS n_batches, round(mn, 4) AS mean_dispersion_norm FROM
+    """SELECT gene, nb AS n_batches, round(mn, 4) + 0.0 AS mean_dispersion_norm FROM
     (SELECT gene, COUNT(*) FILTER (round(norm, 9) >= round(cut, 9)) AS nb, COALESCE(SUM(norm), 0) /
       nullif((SELECT COUNT(DISTINCT batch) FROM obs) - COUNT(*) FILTER (norm IS NULL), 0) AS mn
      FROM batch_dispersions JOIN (SELECT batch, MIN(norm) AS cut FROM (SELECT batch, norm, row_number() OVER
@@ -158,7 +158,7 @@ def select_hvg_subset(spark, sf):
 )
 def hvg_dispersion_batched(spark, sf):
     out = variable.dispersion_genes_by_batch(_lognorm(spark, sf), v.cells(spark, sf), "batch", 200)
-    return out.select("gene", "n_batches", F.round("mean_dispersion_norm", 4).alias("mean_dispersion_norm"))
+    return out.select("gene", "n_batches", (F.round("mean_dispersion_norm", 4) + 0.0).alias("mean_dispersion_norm"))
 
 
 v.add_sql_view(
@@ -225,12 +225,12 @@ def _welch(spark, sf):
 
 @query(
     "rank_genes_ttest",
-    "SELECT gene, condition, round(score, 4) AS score, round(logfc, 4) AS logfc, round(df, 2) AS df FROM welch",
+    "SELECT gene, condition, round(score, 4) + 0.0 AS score, round(logfc, 4) + 0.0 AS logfc, round(df, 2) AS df FROM welch",
     "welch",
 )
 def rank_genes_ttest(spark, sf):
     return _welch(spark, sf).select(
-        "gene", "condition", F.round("score", 4).alias("score"), F.round("logfc", 4).alias("logfc"), F.round("df", 2).alias("df")
+        "gene", "condition", (F.round("score", 4) + 0.0).alias("score"), (F.round("logfc", 4) + 0.0).alias("logfc"), F.round("df", 2).alias("df")
     )
 
 
@@ -243,11 +243,11 @@ def rank_genes_ttest_p(spark, sf):
 
 @query(
     "markers_sorted",
-    "SELECT condition, gene, round(logfc, 4) AS logfc FROM welch ORDER BY 1, logfc DESC",
+    "SELECT condition, gene, round(logfc, 4) + 0.0 AS logfc FROM welch ORDER BY 1, logfc DESC",
     "welch",
 )
 def markers_sorted(spark, sf):
-    return markers.sorted_markers(_welch(spark, sf), "condition").select("condition", "gene", F.round("logfc", 4).alias("logfc"))
+    return markers.sorted_markers(_welch(spark, sf), "condition").select("condition", "gene", (F.round("logfc", 4) + 0.0).alias("logfc"))
 
 
 @query(
