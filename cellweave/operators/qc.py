@@ -32,8 +32,11 @@ def mt_flag(name: str | Column, prefix: str = "mt-", any_case: bool = True) -> C
 
 
 def subset_share(x: DataFrame, obs: DataFrame, var: DataFrame, flag: str, label: str) -> DataFrame:
-    """Per cell the total of the flagged genes and its percentage; null when the cell has no counts."""
-    flagged = x.join(var.select("gene", F.col(flag).alias("_flag")), "gene", "left")
+    """Per cell the total of the flagged genes and its percentage; null when the cell has no counts.
+
+    Only the flagged genes are joined: a short list that Spark can broadcast.
+    """
+    flagged = x.join(var.where(F.col(flag)).select("gene", F.lit(True).alias("_flag")), "gene", "left")
     per_cell = flagged.groupBy("cell_id").agg(
         F.sum("value").alias("total_counts"),
         F.sum(F.when(F.col("_flag"), F.col("value")).otherwise(0.0)).alias(f"total_counts_{label}"),
@@ -112,7 +115,7 @@ def group_medians(metrics: DataFrame, group: str, columns: Sequence[str]) -> Dat
 
 def class_totals(x: DataFrame, obs: DataFrame, var: DataFrame, classes: dict[str, str], column: str) -> DataFrame:
     """Per cell one total per feature class, e.g. negative probes and system controls."""
-    labelled = x.join(var.select("gene", column), "gene")
+    labelled = x.join(var.where(F.col(column).isin(list(classes.values()))).select("gene", column), "gene")
     per_cell = labelled.groupBy("cell_id").agg(
         *[F.sum(F.when(F.col(column) == c, F.col("value")).otherwise(0.0)).alias(out) for out, c in classes.items()]
     )
@@ -133,11 +136,12 @@ def integer_profile(x: DataFrame, obs: DataFrame, eps: float = 1e-6) -> DataFram
 
 
 def one_row(*parts: DataFrame) -> DataFrame:
-    """Put one-row aggregates side by side."""
-    out = parts[0].withColumn("_one", F.lit(1))
+    """Put one-row aggregates side by side, the later ones as scalar subqueries."""
+    out = parts[0]
     for part in parts[1:]:
-        out = out.join(part.withColumn("_one", F.lit(1)), "_one")
-    return out.drop("_one")
+        row = part.select(F.struct(*part.columns)).scalar()
+        out = out.withColumn("_row", row).select("*", "_row.*").drop("_row")
+    return out
 
 
 def sparsity(x: DataFrame, obs: DataFrame, var: DataFrame) -> DataFrame:

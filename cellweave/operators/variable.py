@@ -44,8 +44,9 @@ def _dispersions(moments: DataFrame, by: list[str]) -> DataFrame:
 
 
 def one_side(df: DataFrame, scalars: DataFrame) -> DataFrame:
-    """``df`` with the columns of a one-row table."""
-    return df.join(F.broadcast(scalars.withColumn("_one", F.lit(1))), F.col("_one") == F.lit(1)).drop("_one")
+    """``df`` with the columns of a one-row aggregate, as a scalar subquery."""
+    row = scalars.select(F.struct(*scalars.columns)).scalar()
+    return df.withColumn("_row", row).select("*", "_row.*").drop("_row")
 
 
 def dispersion_genes(log_x: DataFrame, obs: DataFrame, var: DataFrame, n_top: int) -> DataFrame:

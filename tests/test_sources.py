@@ -115,3 +115,31 @@ def test_watch_stops_at_the_sentinel(spark, tmp_path):
     stream.watch(spark, drop, SCHEMA, f"{tmp_path}/out", f"{tmp_path}/ckpt", f"{tmp_path}/done", every="1 second")
     totals = spark.read.parquet(f"{tmp_path}/out/totals").agg(F.max("n_files").alias("n")).first()
     assert totals.n == 1
+
+
+def test_scratch_lies_in_the_named_folder():
+    from types import SimpleNamespace
+
+    from cellweave import session
+
+    context = SimpleNamespace(master="yarn", getCheckpointDir=lambda: "/other")
+    named = SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda key, default: "hdfs://shared/"))
+    assert session.scratch_path(named, "rows").startswith("hdfs://shared/rows-")
+
+
+def test_stage_is_read_back(spark):
+    from cellweave import session
+
+    staged = session.write_stage(spark.range(5), "rows")
+    assert staged.count() == 5 and staged.inputFiles()[0].startswith(f"file:{session.shared_root(spark)}".replace("file:file:", "file:"))
+
+
+def test_cluster_needs_a_shared_folder():
+    from types import SimpleNamespace
+
+    from cellweave import session
+
+    context = SimpleNamespace(master="yarn", getCheckpointDir=lambda: None)
+    fake = SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda key, default: default))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.shared_root(fake)
