@@ -31,7 +31,7 @@ _WORDS4 = "regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abc
     dw AS (SELECT doc_id, p, n, array_to_string(w[p : p + n - 1], ' ') AS words
            FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS p FROM d, sizes WHERE len(w) >= n)),
     hit AS (SELECT doc_id, p, n, item_id FROM dw JOIN iw USING (n, words)),
-    covered AS (SELECT doc_id, count(DISTINCT at) AS n_hit FROM (SELECT doc_id, unnest(range(p, p + n)) AS at FROM hit) GROUP BY doc_id),
+    covered AS (SELECT doc_id, count(DISTINCT pos) AS n_hit FROM (SELECT doc_id, unnest(range(p, p + n)) AS pos FROM hit) GROUP BY doc_id),
     named AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
               FROM (SELECT DISTINCT doc_id, item_id FROM hit) GROUP BY doc_id)
     SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
