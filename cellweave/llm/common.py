@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from cellweave.session import write_stage
 
 #: Raw bytes of text in one block; a longer document is a block of its own.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:

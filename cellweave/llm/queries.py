@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellweave.llm import simhash, winnow
+from cellweave.llm import bpe, simhash, winnow
 from cellweave.llm.common import read
 from cellweave.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 
@@ -46,3 +47,9 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
     )
+
+
+@query("op7_byte_bpe")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every text and the bytes they decode to."""
+    return bpe.round_trip(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)

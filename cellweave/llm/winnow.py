@@ -91,7 +91,7 @@ def item_windows(items: DataFrame, item_col: str = "item_id", text_col: str = "t
     rows = key_and_text(items, item_col, text_col).select(F.col("doc_id").cast("string").alias("item_id"), "text").filter("item_id is not null")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small_batches(batches):
+        for batch in small_batches(batches, limit=1 << 20):
             words = Words(texts_of(batch))
             counts = np.diff(words.first)
             ids = batch.column("item_id").to_pylist()
@@ -117,7 +117,7 @@ def _candidates(docs: DataFrame, sizes: list[int], table: np.ndarray, window: in
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.unpackbits(shared.value).view(bool)
         kind = pa.list_(pa.struct([("first", pa.int32()), ("size", pa.int32()), ("fingerprint", pa.int64()), ("words", pa.string())]))
-        for batch in small_batches(batches):
+        for batch in small_batches(batches, limit=1 << 20):
             words = Words(texts_of(batch))
             found: list[list] = [[] for _ in range(batch.num_rows)]
             for n in sizes:
