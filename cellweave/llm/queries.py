@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellweave.llm import bpe, simhash, suffixes, winnow
-from cellweave.llm.common import read
+from cellweave.llm import bpe, ctw, simhash, suffixes, winnow
+from cellweave.llm.common import crc_fold, read
 from cellweave.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 
 
@@ -63,3 +63,9 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
     )
+
+
+@query("op3_context_tree")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probability of every text, next to that of its words alone."""
+    return ctw.score(read(spark, sf_dir, "documents"), crc_fold(F.col("doc_id"), 7) == 2)
