@@ -7,7 +7,7 @@ so the work is cut twice, as in blockwise suffix sorting with a difference cover
 * **Cover samples.**  A difference cover ``D`` modulo ``v`` has, for any two
   positions, a shift below ``v`` that brings both into ``D``.  Two equal strings
   of ``length`` bytes therefore contain, at one shift, samples of both that
-  agree in ``length - v + 1`` bytes.  Only samples (6.5 % of the positions) are
+  agree in ``length - v + 1`` bytes.  Only samples (8.8 % of the positions) are
   ranked against the whole corpus: the samples are sorted one hash bucket at a
   time and get the rank "shared" or "alone".
 * **Suffix buckets.**  A suffix whose next ``v`` samples are all alone cannot
@@ -16,6 +16,12 @@ so the work is cut twice, as in blockwise suffix sorting with a difference cover
   cut to ``length`` bytes, are sorted one bucket at a time; those that tie are
   repeats.
 
+* **Segments.**  Inside a long repeat all suffixes tie.  A few content-defined
+  anchors cut the suffixes that are left into segments; a segment whose whole
+  string (up to its last suffix's end) occurs again is settled as one tie, and
+  only one of its copies sends its suffixes, for others to tie with.  Where the
+  anchors fall changes the work, not the result.
+
 Suffixes are ordered by fingerprints of their first bytes (32 bits and the bucket
 for samples, where a false match only adds work; 96 bits for suffixes) instead
 of alphabetically: a deduplication asks which suffixes are equal, not which is
@@ -33,12 +39,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cellweave.llm.common import buckets_for, key_and_text, over_blocks, texts_of, with_answers, write_blocks
-from cellweave.llm.rolling import Rolling
+from cellweave.llm.rolling import Rolling, mix
 from cellweave.session import write_stage
 
 LENGTH = 400
-#: Difference cover parameter: 337 is the period and 64 bytes are left for a sample of a 400-byte string.
-COVER = 3
+#: Difference cover parameter: 181 is the period and 220 bytes are left for a sample of a 400-byte string.
+COVER = 2
+#: One position in so many is an anchor; segments of more than LONGEST suffixes are not settled as one.
+ANCHOR = 16
+LONGEST = 256
 
 
 def difference_cover(r: int) -> tuple[np.ndarray, int]:
@@ -80,13 +89,21 @@ class Block:
         doc = np.searchsorted(self.ends, at, "right")
         return at[at + self.length <= self.ends[doc]] if len(at) else at
 
-    def keys(self, at: np.ndarray) -> np.ndarray:
-        """96-bit keys of the strings that start at ``at``."""
-        out = np.empty(len(at), dtype=_KEY)
-        out["high"] = self.rolling.of(at, at + self.length)
-        out["low"] = (Rolling(self.data, 1).of(at, at + self.length) >> np.uint64(32)).astype(np.uint32)
+    def keys(self, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+        """96-bit keys of the strings between ``start`` and ``stop``."""
+        out = np.empty(len(start), dtype=_KEY)
+        size = (stop - start).astype(np.uint64)
+        out["high"] = mix(self.rolling.of(start, stop) + size)
+        out["low"] = (mix(Rolling(self.data, 1).of(start, stop) + size) >> np.uint64(32)).astype(np.uint32)
         return out
 
+    def segments(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Indices into ``at`` (sorted candidates) of the first suffix of each segment and of the next one's."""
+        anchors = np.flatnonzero(self.rolling.of(at, at + min(8, self.length)) % np.uint64(ANCHOR) == 0)
+        first, last = anchors[:-1], anchors[1:]
+        whole = (at[last] - at[first] == last - first) & (last - first <= LONGEST)
+        return first[whole], last[whole]
+
 
 _KEY = np.dtype([("high", "<u8"), ("low", "<u4")])
 
@@ -122,28 +139,62 @@ _ASKED = "block long, bucket int, keys binary, again binary"
 
 
 def _repeats(kind: np.dtype):
-    """Answers one bucket: which keys occur in more than one block or more than once in one."""
+    """Answers one bucket: which keys occur again, and which of their copies is the first.
+
+    An answer holds two bits for each key in the order sent: all "occurs again"
+    bits, then all "is the first copy" bits.
+    """
 
     def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by("block")
         parts = [np.frombuffer(x, dtype=kind) for x in table.column("keys").to_pylist()]
         again = [np.unpackbits(np.frombuffer(x, dtype=np.uint8))[: len(p)] for x, p in zip(table.column("again").to_pylist(), parts)]
         keys = np.concatenate(parts)
-        _, twice, place = _fold(keys["high"], keys["low"]) if kind.names else _fold(keys)
+        first, twice, place = _fold(keys["high"], keys["low"]) if kind.names else _fold(keys)
         np.logical_or.at(twice, place, np.concatenate(again).astype(bool))
+        leads = np.zeros(len(keys), dtype=bool)
+        leads[first] = True
         out, at = [], 0
         for part in parts:
-            out.append(np.packbits(twice[place[at : at + len(part)]]).tobytes())
+            own = slice(at, at + len(part))
+            out.append(np.packbits(twice[place[own]]).tobytes() + np.packbits(leads[own]).tobytes())
             at += len(part)
         return pa.table({"block": table.column("block"), "bucket": table.column("bucket"), "answer": pa.array(out, pa.binary())})
 
     return run
 
 
-def _bits(answers: list | None, sizes: np.ndarray, buckets: np.ndarray) -> np.ndarray:
-    """The answers of all buckets, in the order in which the keys were sent."""
-    told = {x["bucket"]: x["answer"] for x in answers or []}
-    parts = [np.unpackbits(np.frombuffer(told[b], dtype=np.uint8))[:n] for b, n in zip(buckets.tolist(), sizes.tolist())]
-    return np.concatenate(parts).astype(bool) if parts else np.zeros(0, dtype=bool)
+def _bits(answers: dict[int, bytes], bucket: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Both answers for keys that were sent in the order of ``bucket``."""
+    again, leads = [], []
+    for number, n in zip(*(x.tolist() for x in np.unique(bucket, return_counts=True))):
+        raw = np.frombuffer(answers[number], dtype=np.uint8)
+        again.append(np.unpackbits(raw[: len(raw) // 2])[:n])
+        leads.append(np.unpackbits(raw[len(raw) // 2 :])[:n])
+    none = np.zeros(0, dtype=np.uint8)
+    return np.concatenate([none, *again]).astype(bool), np.concatenate([none, *leads]).astype(bool)
+
+
+class Round:
+    """Keys of one block for one question: folded, in bucket order."""
+
+    def __init__(self, keys: np.ndarray, shift: int) -> None:
+        wide = keys.dtype.names is not None
+        self.first, self.again, self.place = _fold(keys["high"], keys["low"]) if wide else _fold(keys)
+        keys = keys[self.first]
+        high = keys["high"] if wide else keys
+        self.bucket = (high >> np.uint64(shift)).astype(np.int64)
+        self.keys = keys if wide else (high >> np.uint64(shift - 32)).astype(np.uint32)
+
+    def asked(self, block: int) -> Iterator[pa.RecordBatch]:
+        yield from _asked(block, self.keys, self.again, self.bucket)
+
+    def answered(self, answers: dict[int, bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """For every key as given: does it occur again, and is it the first copy."""
+        again, leads = _bits(answers, self.bucket)
+        front = np.zeros(len(self.place), dtype=bool)
+        front[self.first] = leads
+        return again[self.place], front
 
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, cover: int = COVER) -> DataFrame:
@@ -161,66 +212,69 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     density = len(difference_cover(cover)[0]) / difference_cover(cover)[1]
     shift = 64 - (buckets_for(blocks, 4 * density).bit_length() - 1)
 
-    def sampled(block: Block) -> tuple:
+    def told(answers: list | None) -> list[dict[int, bytes]]:
+        """The answers of each round by bucket."""
+        out: list[dict[int, bytes]] = [{}, {}, {}]
+        for x in answers or []:
+            out[x["bucket"] % 3][x["bucket"] // 3] = x["answer"]
+        return out
+
+    def rank(block: Block) -> tuple[np.ndarray, Round]:
         at, hashes = block.samples()
-        first, again, place = _fold(hashes)
-        keys = hashes[first]
-        bucket = (keys >> np.uint64(shift)).astype(np.int64)
-        short = (keys >> np.uint64(shift - 32)).astype(np.uint32)
-        return at, place, again, bucket, short
-
-    def shared(block: Block, answers: list | None) -> np.ndarray:
-        at, place, _, bucket, _ = sampled(block)
-        numbers, sizes = np.unique(bucket, return_counts=True)
-        return at[_bits(answers, sizes, numbers)[place]] if len(at) else at
-
-    def suffixes(block: Block, answers: list | None) -> tuple:
-        at = block.candidates(shared(block, answers))
-        keys = block.keys(at)
-        first, again, place = _fold(keys["high"], keys["low"])
-        keys = keys[first]
-        return at, place, again, (keys["high"] >> np.uint64(shift)).astype(np.int64), keys
-
-    def ask_samples(number: int, table: pa.Table, _: list | None) -> Iterator[pa.RecordBatch]:
-        _, _, again, bucket, short = sampled(Block(table, length, cover))
-        yield from _asked(number, short, again, bucket)
-
-    def ask_suffixes(number: int, table: pa.Table, answers: list | None) -> Iterator[pa.RecordBatch]:
-        _, _, again, bucket, keys = suffixes(Block(table, length, cover), answers)
-        yield from _asked(number, keys, again, bucket)
+        return at, Round(hashes, shift)
+
+    def segment(block: Block, told: list[dict]) -> tuple:
+        at, ranks = rank(block)
+        at = block.candidates(at[ranks.answered(told[0])[0]])
+        first, last = block.segments(at)
+        return at, first, last, Round(block.keys(at[first], at[last] + length), shift)
+
+    def tie(block: Block, told: list[dict]) -> tuple:
+        at, first, last, segments = segment(block, told)
+        again, leads = segments.answered(told[1])
+        settled, sent = np.zeros((2, len(at) + 1), dtype=np.int32)
+        for marks, which in ((settled, again), (sent, again & ~leads)):
+            np.add.at(marks, first[which], 1)
+            np.add.at(marks, last[which], -1)
+        settled, open_ = np.cumsum(settled[:-1]) > 0, np.cumsum(sent[:-1]) == 0
+        own = at[open_]
+        return at[settled], own, Round(block.keys(own, own + length), shift)
+
+    def ask_ranks(number: int, table: pa.Table, _: list | None) -> Iterator[pa.RecordBatch]:
+        yield from rank(Block(table, length, cover))[1].asked(number)
+
+    def ask_segments(number: int, table: pa.Table, answers: list | None) -> Iterator[pa.RecordBatch]:
+        yield from segment(Block(table, length, cover), told(answers))[3].asked(number)
+
+    def ask_ties(number: int, table: pa.Table, answers: list | None) -> Iterator[pa.RecordBatch]:
+        yield from tie(Block(table, length, cover), told(answers))[2].asked(number)
 
     def cut(number: int, table: pa.Table, answers: list | None) -> Iterator[pa.RecordBatch]:
-        block = Block(table, length, cover)
-        of_samples = [{"bucket": x["bucket"], "answer": x["answer"]} for x in answers or [] if x["bucket"] >= 0]
-        of_suffixes = [{"bucket": -1 - x["bucket"], "answer": x["answer"]} for x in answers or [] if x["bucket"] < 0]
-        at, place, _, bucket, _ = suffixes(block, of_samples)
-        numbers, sizes = np.unique(bucket, return_counts=True)
-        hit = at[_bits(of_suffixes, sizes, numbers)[place]] if len(at) else at
+        block, known = Block(table, length, cover), told(answers)
+        settled, own, ties = tie(block, known)
         marks = np.zeros(len(block.data) + 1, dtype=np.int32)
-        np.add.at(marks, hit, 1)
-        np.add.at(marks, hit + length, -1)
+        for hit in (settled, own[ties.answered(known[2])[0]]):
+            np.add.at(marks, hit, 1)
+            np.add.at(marks, hit + length, -1)
         gone = np.cumsum(marks[:-1]) > 0
         spans, kept = [], []
         for a, b in zip(block.starts.tolist(), block.ends.tolist()):
             own = gone[a:b]
-            if own.any():
-                edge = np.flatnonzero(np.diff(own.astype(np.int8), prepend=np.int8(0), append=np.int8(0)))
-                spans.append([{"start": s, "stop": e} for s, e in edge.reshape(-1, 2).tolist()])
-                kept.append(block.data[a:b][~own].tobytes())
-            else:
-                spans.append([])
-                kept.append(block.data[a:b].tobytes())
+            edge = np.flatnonzero(np.diff(own.astype(np.int8), prepend=np.int8(0), append=np.int8(0)))
+            spans.append([{"start": s, "stop": e} for s, e in edge.reshape(-1, 2).tolist()])
+            kept.append(block.data[a:b][~own].tobytes())
         kind = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
-        for batch in table.select(["doc_id"]).combine_chunks().to_batches():
-            yield pa.record_batch(
-                {"doc_id": batch.column("doc_id"), "n_bytes": pa.array(block.ends - block.starts, pa.int64()), "spans": pa.array(spans, kind), "kept": pa.array(kept, pa.binary())}
-            )
-
-    def answered(asked: DataFrame, kind: np.dtype, label: str) -> DataFrame:
-        return write_stage(asked.groupBy("bucket").applyInArrow(_repeats(kind), "block long, bucket int, answer binary"), label)
+        ids = table.column("doc_id").combine_chunks()
+        yield pa.record_batch(
+            {"doc_id": ids, "n_bytes": pa.array(block.ends - block.starts, pa.int64()), "spans": pa.array(spans, kind), "kept": pa.array(kept, pa.binary())}
+        )
 
-    ranks = answered(blocks.mapInArrow(over_blocks(ask_samples), _ASKED), np.dtype("<u4"), "cover-ranks")
-    ties = answered(with_answers(blocks, ranks).mapInArrow(over_blocks(ask_suffixes), _ASKED), _KEY, "suffix-ties")
-    both = ranks.unionAll(ties.select("block", (-1 - F.col("bucket")).alias("bucket"), "answer"))
+    answers = None
+    for label, ask, kind in (("ranks", ask_ranks, np.dtype("<u4")), ("segments", ask_segments, _KEY), ("ties", ask_ties, _KEY)):
+        number = {"ranks": 0, "segments": 1, "ties": 2}[label]
+        asked = (blocks if answers is None else with_answers(blocks, answers)).mapInArrow(over_blocks(ask), _ASKED)
+        found = asked.groupBy("bucket").applyInArrow(_repeats(kind), "block long, bucket int, answer binary")
+        found = write_stage(found.withColumn("bucket", F.col("bucket").cast("long") * 3 + number), label)
+        answers = found if answers is None else answers.unionAll(found)
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return with_answers(blocks, both).mapInArrow(over_blocks(cut), f"doc_id {kind}, n_bytes long, spans array<struct<start:long, stop:long>>, kept binary")
+    return with_answers(blocks, answers).mapInArrow(over_blocks(cut), f"doc_id {kind}, n_bytes long, spans array<struct<start:long, stop:long>>, kept binary")
