@@ -69,12 +69,12 @@ def unpack(payload: bytes) -> pa.Table:
     return pa.ipc.open_stream(payload).read_all()
 
 
-def write_blocks(docs: DataFrame, label: str) -> DataFrame:
+def write_blocks(docs: DataFrame, label: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``docs`` (with a ``text`` column) as written blocks: block, n_bytes, payload."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first = TaskContext.get().partitionId() << 32
-        for i, part in enumerate(small_batches(batches)):
+        for i, part in enumerate(small_batches(batches, limit=block_bytes)):
             n = pc.sum(pc.binary_length(part.column("text"))).as_py() or 0
             yield pa.record_batch({"block": pa.array([first + i], pa.int64()), "n_bytes": pa.array([n], pa.int64()), "payload": pa.array([pack(part)], pa.binary())})
 

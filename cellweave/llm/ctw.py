@@ -32,11 +32,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cellweave.llm.common import buckets_for, over_blocks, texts_of, with_answers, write_blocks
-from cellweave.llm.rolling import Rolling, mix
+from cellweave.llm.rolling import Rolling, distinct, grouped, mix
 from cellweave.session import write_stage
 
-#: Context bytes; at most 7, so that a pair fits 64 bits.
-DEPTH = 6
+#: Context bytes; at most 6, so that a pair and a document's number in a chunk fit 64 bits.
+DEPTH = 5
+#: Code lengths travel as whole multiples of 1/256 bit (at most 256 bits), rounded up, which keeps them code lengths.
+GRAIN = 256
 END = 0xFF
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -63,8 +65,10 @@ def _open_sorted(data: bytes) -> np.ndarray:
 
 def _counted(keys: np.ndarray, train: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys in order, with how often each occurs in training documents."""
-    known, times = np.unique(keys[train], return_counts=True)
-    every = np.union1d(known, keys[~train])
+    sorted_ = np.sort(keys[train])
+    first = np.flatnonzero(np.diff(sorted_, prepend=~sorted_[:1]) != 0) if len(sorted_) else np.zeros(0, dtype=np.int64)
+    known, times = sorted_[first], np.diff(first, append=len(sorted_))
+    every = distinct(np.concatenate([known, distinct(keys[~train])]))
     counts = np.zeros(len(every), dtype=np.uint32)
     counts[np.searchsorted(every, known)] = times
     return every, counts
@@ -92,8 +96,7 @@ class Texts:
         coded = np.ones(len(data), dtype=bool)
         for back in range(1, depth + 1):
             coded[self.start - back] = False
-        doc = np.repeat(np.arange(len(self.stop)), self.stop - self.start)
-        return keys[coded], doc
+        return keys[coded], np.repeat(np.arange(len(self.stop)), self.stop - self.start)
 
     def words(self) -> tuple[np.ndarray, np.ndarray]:
         """Hash and document of every word."""
@@ -151,6 +154,7 @@ class Subtree:
         self.seen = np.zeros((8, len(pairs)), dtype=bool)
         self.nodes: list[tuple] = []
         byte = (pairs & np.uint64(0xFF)).astype(np.int64)
+        orders = {at: np.argsort((pairs >> np.uint64(8 * (depth + 1 - at))) << np.uint64(8) | (pairs & np.uint64(0xFF)), kind="stable") for at in range(top, depth)}
         for bit in range(8):
             one = (byte >> (7 - bit)) & 1
             prefix = (byte >> (8 - bit)).astype(np.uint64)
@@ -158,13 +162,12 @@ class Subtree:
             for at in range(depth, top - 1, -1):
                 context = (pairs >> np.uint64(8 * (depth + 1 - at))) << np.uint64(8)
                 node = context | prefix
-                # pairs of one context and byte prefix are neighbours only at full depth
                 if at == depth:
                     group = _groups(node)
-                    size = int(group[-1]) + 1 if len(group) else 0
                 else:
-                    _, group = np.unique(node, return_inverse=True)
-                    size = int(group.max()) + 1 if len(group) else 0
+                    group = np.empty(len(node), dtype=np.int64)
+                    group[orders[at]] = _groups(node[orders[at]])
+                size = int(group.max()) + 1 if len(group) else 0
                 ones = np.bincount(group, counts * one, size)
                 zeros = np.bincount(group, counts * (1 - one), size)
                 if below is not None:
@@ -183,7 +186,7 @@ class Subtree:
             if len(pairs):
                 last = np.zeros(len(below), dtype=np.uint64)
                 last[group_below] = ((pairs >> np.uint64(8 * depth)) << np.uint64(8)) | np.uint64(1 << bit) | prefix
-                keys, merged = np.unique(last, return_inverse=True)
+                keys, merged = grouped(last)
                 self.nodes.append(tuple([keys, *(np.bincount(merged, x, len(keys)) for x in (zeros, ones, below))]))
 
     def tops(self) -> np.ndarray:
@@ -248,9 +251,29 @@ _TOLD = "block long, bucket int, answer binary"
 
 def _merged(table: pa.Table) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
     parts = [_open_sorted(k) for k in table.column("keys").to_pylist()]
-    counts = np.concatenate([_open(c, "<u4") for c in table.column("counts").to_pylist()]).astype(np.float64)
-    keys, place = np.unique(np.concatenate(parts), return_inverse=True)
-    return keys, np.bincount(place, counts, len(keys)), parts
+    keys = distinct(np.concatenate(parts))
+    counts = np.zeros(len(keys))
+    for part, own in zip(parts, table.column("counts").to_pylist()):
+        counts[np.searchsorted(keys, part)] += _open(own, "<u4")
+    return keys, counts, parts
+
+
+def _per_document(pairs: np.ndarray, doc: np.ndarray, keys: np.ndarray, cost: np.ndarray, size: int) -> np.ndarray:
+    """Sum of the costs of each document's pairs, 256 documents at a time.
+
+    A pair and its document's number are sorted as one integer, so that each
+    distinct pair is looked up once and no inverse is kept.
+    """
+    out = np.zeros(size)
+    cuts = np.searchsorted(doc, np.arange(0, size + 256, 256))
+    for at, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])):
+        both = np.sort((pairs[a:b] << np.uint64(8)) | (doc[a:b] - 256 * at).astype(np.uint64))
+        own = both >> np.uint64(8)
+        first = np.flatnonzero(np.diff(own, prepend=~own[:1]) != 0) if len(own) else np.zeros(0, dtype=np.int64)
+        values = np.repeat(cost[np.searchsorted(keys, own[first])], np.diff(first, append=len(own)))
+        sums = np.bincount((both & np.uint64(0xFF)).astype(np.int64), values, 256)
+        out[256 * at : 256 * at + 256] = sums[: size - 256 * at]
+    return out
 
 
 def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text", depth: int = DEPTH) -> DataFrame:
@@ -262,11 +285,11 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
     is that of the end alone.  A null ``held_out`` counts as held out.  Without
     training texts every bit costs one bit.  Keys may be null or repeated.
     """
-    if not 2 <= depth <= 7:
-        raise ValueError("depth must be 2 to 7")
+    if not 2 <= depth <= 6:
+        raise ValueError("depth must be 2 to 6")
     flag = docs.select(F.coalesce(held_out, F.lit(True)).alias("held_out"), F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    blocks = write_blocks(flag, "blocks")
-    n = buckets_for(blocks, 0.25)
+    blocks = write_blocks(flag, "blocks", 4 << 20)
+    n = buckets_for(blocks, 1.0)
 
     def pair_bucket(pairs: np.ndarray) -> np.ndarray:
         return (mix(pairs >> np.uint64(8 * (depth - 1))) % np.uint64(n)).astype(np.int64)
@@ -319,7 +342,8 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
         keys = _open_sorted(part[-2])
         mixed = _open(part[-3], "<f4").reshape(8, -1)
         seen = np.unpackbits(_open(part[-4], "u1"))[: 8 * len(keys)].reshape(8, -1).astype(bool)
-        cost = top.value.log10(keys, mixed, seen, depth).astype("<f4")
+        bits = -top.value.log10(keys, mixed, seen, depth) / np.log10(2.0)
+        cost = np.minimum(np.ceil(bits * GRAIN), 0xFFFF).astype("<u2")
         out = [_shut(cost[np.searchsorted(keys, _open_sorted(k))]) for k in asked.column("keys").to_pylist()]
         return pa.table({"block": asked.column("block"), "bucket": asked.column("bucket"), "answer": pa.array(out, pa.binary())})
 
@@ -344,11 +368,11 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
         given = {x["bucket"]: x["answer"] for x in answers or []}
         size = len(texts.stop)
         pairs, doc = texts.pairs()
-        keys, place = np.unique(pairs, return_inverse=True)
-        cost = answer_for(keys, pair_bucket(keys), given, 0, "<f4")
-        scores = summed(cost[place], doc, size)
+        keys = distinct(pairs)
+        cost = answer_for(keys, pair_bucket(keys), given, 0, "<u2") / GRAIN
+        scores = -np.log10(2.0) * _per_document(pairs, doc, keys, cost, size)
         words, doc = texts.words()
-        keys, place = np.unique(words, return_inverse=True)
+        keys, place = grouped(words)
         seen = answer_for(keys, (keys % np.uint64(n)).astype(np.int64), given, n, "<u8")[place]
         yield pa.record_batch(
             {
@@ -367,9 +391,9 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
     totals = np.zeros(2)
     for row in told.filter("block = -1").select("answer").toLocalIterator():
         totals += np.frombuffer(row["answer"], dtype="<f8")
-    distinct, running = int(totals[0]) + (ends > 0), int(totals[1]) + ends
+    vocabulary, running = int(totals[0]) + (ends > 0), int(totals[1]) + ends
     return scored.select(
         "doc_id", "held_out", "n_tokens", (F.col("n_known") + F.lit(int(ends > 0))).alias("n_known"), F.lit(running).cast("long").alias("train_tokens"),
-        (F.col("logs") + F.log10(F.lit(float(ends + 1))) - F.col("n_tokens") * F.log10(F.lit(float(running + distinct + 1)))).alias("base_score"),
+        (F.col("logs") + F.log10(F.lit(float(ends + 1))) - F.col("n_tokens") * F.log10(F.lit(float(running + vocabulary + 1)))).alias("base_score"),
         "score", (-F.col("score") / F.log10(F.lit(2.0)) / F.col("n_coded")).alias("bits_per_byte"),
     )

@@ -53,3 +53,19 @@ class Rolling:
 
     def of(self, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
         return mix((self.sums[stop] - self.sums[start]) * self.inverse[start])
+
+
+def distinct(keys: np.ndarray) -> np.ndarray:
+    """Sorted distinct keys; sorting beats a hash table by far here."""
+    keys = np.sort(keys)
+    return keys[np.diff(keys, prepend=~keys[:1]) != 0] if len(keys) else keys
+
+
+def grouped(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct keys, and each key's place among them."""
+    order = np.argsort(keys)
+    keys = keys[order]
+    new = np.diff(keys, prepend=~keys[:1]) != 0 if len(keys) else np.zeros(0, dtype=bool)
+    place = np.empty(len(keys), dtype=np.int64)
+    place[order] = np.cumsum(new) - 1
+    return keys[new], place
