@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellweave.llm import bpe, ctw, simhash, suffixes, winnow
+from cellweave.llm import bpe, ctw, quality, simhash, suffixes, toxicity, winnow
 from cellweave.llm.common import crc_fold, read
 from cellweave.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 
@@ -69,3 +69,21 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log probability of every text, next to that of its words alone."""
     return ctw.score(read(spark, sf_dir, "documents"), crc_fold(F.col("doc_id"), 7) == 2)
+
+
+def _judged(found: DataFrame, held_out: Column) -> DataFrame:
+    return found.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query("op1_toxicity")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every whole text after noisy-channel restoration."""
+    held_out = crc_fold(F.col("doc_id"), 5) == 0
+    return _judged(toxicity.toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"), ~held_out), held_out)
+
+
+@query("op8_quality")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Calibrated quality of every whole text."""
+    held_out = crc_fold(F.col("doc_id"), 3) == 1
+    return _judged(quality.quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"), ~held_out), held_out)
