@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellweave.llm import bpe, ctw, quality, simhash, suffixes, toxicity, winnow
+from cellweave.llm import bpe, ctw, merkle, pseudonyms, quality, sharding, simhash, suffixes, toxicity, winnow
 from cellweave.llm.common import crc_fold, read
 from cellweave.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 
@@ -87,3 +88,39 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Calibrated quality of every whole text."""
     held_out = crc_fold(F.col("doc_id"), 3) == 1
     return _judged(quality.quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"), ~held_out), held_out)
+
+
+@query("op5_merkle")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every text and of its edited text."""
+    return merkle.edits(read(spark, sf_dir, "documents"))
+
+
+@query(
+    "op6_sharding",
+    """
+    WITH d AS (SELECT doc_id, strlen(coalesce(text, '')) AS n_bytes FROM documents),
+    c AS (SELECT *, row_number() OVER (PARTITION BY doc_id, n_bytes) AS copy FROM d),
+    h AS (SELECT doc_id, n_bytes, CAST('0x' || substr(md5(concat_ws(':', CAST(doc_id AS VARCHAR), CAST(n_bytes AS VARCHAR), CAST(copy AS VARCHAR))), 1, 15) AS BIGINT) AS hash FROM c),
+    levels AS (SELECT doc_id, n_bytes, hash, unnest(range(0, 60)) AS depth FROM h WHERE n_bytes <= 1048576),
+    over AS (SELECT depth, hash >> (60 - depth) AS prefix FROM levels GROUP BY 1, 2 HAVING sum(n_bytes) > 1048576),
+    deep AS (SELECT hash, max(l.depth) + 1 AS depth FROM levels l JOIN over o ON l.depth = o.depth AND l.hash >> (60 - l.depth) = o.prefix GROUP BY hash)
+    SELECT doc_id, CAST(n_bytes AS BIGINT) AS n_bytes,
+           substr(lpad(bin(hash), 60, '0'), 1, CASE WHEN n_bytes > 1048576 THEN 60 ELSE coalesce(depth, 0) END) AS shard,
+           CAST(CASE WHEN n_bytes > 1048576 THEN 60 ELSE coalesce(depth, 0) END AS INTEGER) AS depth, n_bytes > 1048576 AS oversized
+    FROM h LEFT JOIN deep USING (hash)
+    """,
+)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hash-prefix shards of one mebibyte at most."""
+    return sharding.shards(read(spark, sf_dir, "documents"))
+
+
+@query("op2_pseudonyms")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts with pseudonyms for personal data, and how many values were changed."""
+    found = pseudonyms.pseudonymize(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "text", F.size(F.filter("pii", lambda p: p["value"] != p["pseudonym"])).cast("long").alias("n_changed"), "pii")
+
+
+query("pipeline")(corpus_pipeline.run)

@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import itertools
 import math
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,9 +35,11 @@ LOOK_ALIKES = {
     "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "*": "abcdefghijklmnopqrstuvwxyz",
 }
 SEPARATORS = set(".-_~/\\'")
-SWAP, REPEAT, DROP, EDGE = 1.0, 0.7, 1.5, 0.3
+SWAP, REPEAT, DROP, EDGE = 1.0, 0.7, 6.0, 0.3
 #: Labelled rows that the classifier is fitted on, chosen by hash, and words looked at for the lexicon.
 FIT_ROWS, CANDIDATES = 20_000, 2_000
+#: Weight of the lexicon in the letter model that decodes documents.
+LEXICON_SHARE = 0.05
 _MEMO = 300_000
 _CODE = np.zeros(256, dtype=np.int64)
 _CODE[ord("a") : ord("z") + 1] = np.arange(1, 27)
@@ -74,7 +77,8 @@ class Restorer:
 
     @staticmethod
     def noisy(token: str) -> bool:
-        return not token.isalpha() or any(a == b == c for a, b, c in zip(token, token[1:], token[2:]))
+        same = [a == b for a, b in zip(token, token[1:])]
+        return not token.isalpha() or sum(same) >= 3 or any(a and b for a, b in zip(same, same[1:]))
 
     @staticmethod
     def columns(token: str) -> list[list[tuple[str, float]]]:
@@ -90,7 +94,7 @@ class Restorer:
                 wild = math.log(26) if symbol == "*" else 0.0
                 options += [(letter, SWAP + wild + REPEAT * (n > 1)), *([(letter * 2, SWAP + wild + REPEAT * (n > 2))] if n > 1 else [])]
             if not symbol.isalpha():
-                options.append(("", EDGE if edge or symbol in SEPARATORS else DROP))
+                options.append(("", EDGE if symbol in SEPARATORS or (edge and symbol not in "0123456789@$") else DROP))
             out.append(options)
         return out
 
@@ -189,13 +193,19 @@ def _hit_rows(docs: DataFrame, counts: np.ndarray, lexicon: set[str]) -> DataFra
     """``docs`` with the lexicon words hit, without the text."""
     kept = [f for f in docs.schema.fields if f.name != "text"]
 
+    told = counts.copy()
+    for word in lexicon:  # the letter model also expects what the lexicon holds
+        code = [0, 0, *(ord(c) - 96 if "a" <= c <= "z" else 27 for c in word), 0]
+        for x, y, z in zip(code, code[1:], code[2:]):
+            told[(x * _SYMBOLS + y) * _SYMBOLS + z] += LEXICON_SHARE * counts.sum() / len(lexicon) / len(word)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hits = Hits(Restorer(counts), lexicon)
+        hits = Hits(Restorer(told), lexicon)
         for batch in small_batches(batches):
             found = pa.array([hits.of(t) for t in texts_of(batch)], pa.list_(pa.string()))
             yield pa.record_batch([*(batch.column(f.name) for f in kept), found], [*(f.name for f in kept), "hits"])
 
-    return docs.mapInArrow(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept) + ", hits array<string>")
+    return docs.mapInArrow(run, ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), "hits array<string>"]))
 
 
 def learn_lexicon(sample: DataFrame, counts: np.ndarray, toxic: int, clean: int) -> set[str]:
@@ -209,20 +219,18 @@ def learn_lexicon(sample: DataFrame, counts: np.ndarray, toxic: int, clean: int)
     candidates = {r["word"] for r in asked.collect()}
     rows = _hit_rows(sample.filter("label = 1").select("text"), counts, candidates).collect()
     left = [set(r["hits"]) for r in rows]
+    found = Counter(itertools.chain.from_iterable(left))
     lexicon: set[str] = set()
     while left:
-        tally: dict[str, int] = {}
-        for words in left:
-            for word in words:
-                tally[word] = tally.get(word, 0) + 1
+        tally = Counter(itertools.chain.from_iterable(left))
         word = min(tally, key=lambda w: (-tally[w], w)) if tally else None
         if word is None or tally[word] < max(3, 0.002 * len(rows)):
             break
         lexicon.add(word)
         left = [words for words in left if word not in words]
-    # words that a chosen set explains by chance alone are re-examined against it: keep all words as strong as the weakest chosen
-    strong = {w for w in candidates if sum(w in set(r["hits"]) for r in rows) >= 0.5 * max((sum(c in set(r["hits"]) for r in rows) for c in lexicon), default=1)}
-    return lexicon | strong
+    # a word that others mostly cover is as telling as they are: keep all that are half as frequent as the most frequent
+    often = {w: found[w] for w in candidates if found[w] >= 0.5 * max((found[c] for c in lexicon), default=1)}
+    return lexicon | set(often)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> DataFrame:
