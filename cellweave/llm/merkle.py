@@ -20,14 +20,21 @@ SPAN_WORDS, SKETCH = 8, 128
 RANGE_BYTES, MOST_RANGES = 16 << 20, 4096
 
 
-def _spans(paragraph: Column) -> Column:
-    words = F.split(paragraph, " ", -1)
-    return F.transform(F.sequence(F.lit(0), F.size(words) - 1, F.lit(SPAN_WORDS)), lambda at: F.md5(F.array_join(F.slice(words, at + 1, F.lit(SPAN_WORDS)), " ")))
+#: Up to eight words, each with the space after it; the matches of a paragraph join to it.
+_SPAN = "(?:[^ ]* ){0,%d}[^ ]* ?" % (SPAN_WORDS - 1)
+
+
+def bound(value: Column, use) -> Column:
+    """``use`` of a value that is computed once, however often ``use`` mentions it."""
+    return F.transform(F.array(value), use)[0]
 
 
 def tree(text: Column) -> Column:
     """sections: array of paragraphs, each the array of its spans' hashes."""
-    return F.transform(F.split(F.coalesce(text, F.lit("")), "\n\n", -1), lambda section: F.transform(F.split(section, "\n", -1), _spans))
+    return F.transform(
+        F.split(F.coalesce(text, F.lit("")), "\n\n", -1),
+        lambda section: F.transform(F.split(section, "\n", -1), lambda p: F.transform(F.regexp_extract_all(p, F.lit(_SPAN), 0), F.md5)),
+    )
 
 
 def paragraph_hashes(nodes: Column) -> Column:
@@ -49,21 +56,24 @@ def sketch(nodes: Column) -> Column:
 
 
 def fingerprint(nodes: Column) -> Column:
-    return F.concat(root(nodes), F.lit(":"), F.array_join(sketch(nodes), ""))
+    return bound(nodes, lambda t: F.concat(root(t), F.lit(":"), F.array_join(sketch(t), "")))
 
 
 def spans_of(print_col: Column) -> Column:
     """The span hashes that a fingerprint holds."""
-    held = F.substring(print_col, F.lit(66), F.length(print_col))
-    return F.transform(F.sequence(F.lit(1), F.length(held), F.lit(8)), lambda at: F.substring(held, at, F.lit(8)))
+    return F.regexp_extract_all(F.substring_index(print_col, ":", -1), F.lit(".{8}"), 0)
 
 
 def likeness(left: Column, right: Column) -> Column:
     """Share of common spans (Dice) estimated from two fingerprints, 1 when the roots are equal."""
-    a, b = spans_of(left), spans_of(right)
-    both = F.slice(F.array_sort(F.array_union(a, b)), 1, SKETCH)
-    common = F.size(F.array_intersect(both, F.array_intersect(a, b))) / F.size(both)
-    return F.when(F.substring(left, 1, 64) == F.substring(right, 1, 64), 1.0).otherwise(2 * common / (1 + common))
+    def dice(x: Column) -> Column:
+        least = F.slice(F.array_sort(F.array_union(x["a"], x["b"])), 1, SKETCH)
+        held = F.array_intersect(x["a"], x["b"])
+        share = bound(least, lambda u: F.size(F.array_intersect(u, held)) / F.size(u))
+        return bound(share, lambda j: 2 * j / (1 + j))
+
+    apart = bound(F.struct(spans_of(left).alias("a"), spans_of(right).alias("b")), dice)
+    return F.when(F.substring(left, 1, 64) == F.substring(right, 1, 64), 1.0).otherwise(apart)
 
 
 def changed_sections(left: Column, right: Column) -> Column:
