@@ -34,6 +34,11 @@ def key_and_text(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return df.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, however often ``use`` mentions it."""
+    return F.transform(F.array(value), use)[0]
+
+
 def crc_fold(id_col: Column, folds: int) -> Column:
     """crc32 of the key as text, modulo ``folds``; a null key counts as empty text."""
     return F.crc32(F.coalesce(id_col.cast("string"), F.lit(""))) % folds

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cellweave.llm.common import key_and_text
+from cellweave.llm.common import bound, key_and_text
 
 SPAN_WORDS, SKETCH = 8, 128
 #: Texts of a window partition, in bytes of the input, and at most so many partitions' bounds on the driver.
@@ -24,11 +24,6 @@ RANGE_BYTES, MOST_RANGES = 16 << 20, 4096
 _SPAN = "(?:[^ ]* ){0,%d}[^ ]* ?" % (SPAN_WORDS - 1)
 
 
-def bound(value: Column, use) -> Column:
-    """``use`` of a value that is computed once, however often ``use`` mentions it."""
-    return F.transform(F.array(value), use)[0]
-
-
 def tree(text: Column) -> Column:
     """sections: array of paragraphs, each the array of its spans' hashes."""
     return F.transform(

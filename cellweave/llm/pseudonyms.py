@@ -14,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cellweave.llm.common import bound
+
 KEY = "cellweave"
 ROUNDS = 10
 #: The patterns of each kind, in order of precedence.
@@ -32,24 +34,27 @@ _DAYS = 73_049  # 1900-01-01 to 2099-12-31
 
 def _shifted(half: Column, other: Column, kind: str, turn: Column, letters: int) -> Column:
     """``half`` with every digit and letter moved within its class by a keyed hash of ``other``."""
-    digest = F.sha2(F.concat_ws("|", F.lit(KEY), F.lit(kind), turn.cast("string"), other), 256)
-
-    def one(at: Column) -> Column:
-        c = F.substring(half, at, F.lit(1))
+    def one(own: Column, digest: Column, at: Column) -> Column:
+        c = F.substring(own, at, F.lit(1))
         # a fresh digest every 32 symbols
         row = F.when(at > 32, F.sha2(F.concat_ws("|", digest, F.floor((at - 1) / 32).cast("string")), 256)).otherwise(digest)
         step = F.conv(F.substring(row, (at - 1) % 32 * 2 + 1, F.lit(2)), 16, 10).cast("int")
-        code = F.ascii(c)
-        moved = lambda first, size: F.char(((code - first + step) % size + first).cast("long"))
+        moved = lambda first, size: F.char(((F.ascii(c) - first + step) % size + first).cast("long"))
         return F.when(c.between("0", "9"), moved(48, 10)).when(c.between("a", "z"), moved(97, letters)).when(c.between("A", "Z"), moved(65, letters)).otherwise(c)
 
-    return F.when(F.length(half) == 0, half).otherwise(F.array_join(F.transform(F.sequence(F.lit(1), F.greatest(F.length(half), F.lit(1))), one), ""))
+    digest = F.sha2(F.concat_ws("|", F.lit(KEY), F.lit(kind), turn.cast("string"), other), 256)
+    moved = bound(
+        F.struct(half.alias("own"), digest.alias("digest")),
+        lambda x: F.array_join(F.transform(F.sequence(F.lit(1), F.greatest(F.length(x["own"]), F.lit(1))), lambda at: one(x["own"], x["digest"], at)), ""),
+    )
+    return F.when(F.length(half) == 0, half).otherwise(moved)
 
 
 def feistel(value: Column, kind: str, letters: int = 26) -> Column:
     """A keyed permutation of the strings with the same class of symbol at every place."""
-    cut = F.floor(F.length(value) / 2).cast("int")
-    start = F.struct(F.substring(value, F.lit(1), cut).alias("a"), F.substring(value, cut + 1, F.length(value)).alias("b"))
+    def halves(v: Column) -> Column:
+        cut = F.floor(F.length(v) / 2).cast("int")
+        return F.struct(F.substring(v, F.lit(1), cut).alias("a"), F.substring(v, cut + 1, F.length(v)).alias("b"))
 
     def turn(s: Column, i: Column) -> Column:
         even = i % 2 == 0
@@ -58,8 +63,7 @@ def feistel(value: Column, kind: str, letters: int = 26) -> Column:
             F.when(even, s["b"]).otherwise(_shifted(s["b"], s["a"], kind, i, letters)).alias("b"),
         )
 
-    done = F.aggregate(F.sequence(F.lit(0), F.lit(ROUNDS - 1)), start, turn)
-    return F.concat(done["a"], done["b"])
+    return F.aggregate(F.sequence(F.lit(0), F.lit(ROUNDS - 1)), bound(value, halves), turn, lambda s: F.concat(s["a"], s["b"]))
 
 
 def walked(value: Column, kind: str, valid) -> Column:
@@ -69,27 +73,34 @@ def walked(value: Column, kind: str, valid) -> Column:
 
 def luhn_sum(digits: Column) -> Column:
     """Luhn sum when one more digit follows on the right."""
-    n = F.length(digits)
 
-    def add(total: Column, at: Column) -> Column:
-        d = F.substring(digits, at, F.lit(1)).cast("int")
-        twice = F.when(d * 2 > 9, d * 2 - 9).otherwise(d * 2)
-        return total + F.when((n - at) % 2 == 0, twice).otherwise(d)
+    def total(own: Column) -> Column:
+        def add(sum_: Column, at: Column) -> Column:
+            d = F.substring(own, at, F.lit(1)).cast("int")
+            twice = F.when(d * 2 > 9, d * 2 - 9).otherwise(d * 2)
+            return sum_ + F.when((F.length(own) - at) % 2 == 0, twice).otherwise(d)
 
-    return F.aggregate(F.sequence(F.lit(1), n), F.lit(0), add)
+        return F.aggregate(F.sequence(F.lit(1), F.length(own)), F.lit(0), add)
+
+    return bound(digits, total)
 
 
 def _refilled(written: Column, digits: Column) -> Column:
     """``written`` with its digits replaced in order."""
-    def add(s: Column, at: Column) -> Column:
-        c = F.substring(written, at, F.lit(1))
-        number = c.between("0", "9")
-        return F.struct(
-            F.concat(s["out"], F.when(number, F.substring(digits, s["at"], F.lit(1))).otherwise(c)).alias("out"),
-            (s["at"] + number.cast("int")).alias("at"),
-        )
 
-    return F.aggregate(F.sequence(F.lit(1), F.length(written)), F.struct(F.lit("").alias("out"), F.lit(1).alias("at")), add)["out"]
+    def fill(x: Column) -> Column:
+        def add(s: Column, at: Column) -> Column:
+            c = F.substring(x["written"], at, F.lit(1))
+            number = c.between("0", "9")
+            return F.struct(
+                F.concat(s["out"], F.when(number, F.substring(x["digits"], s["at"], F.lit(1))).otherwise(c)).alias("out"),
+                (s["at"] + number.cast("int")).alias("at"),
+            )
+
+        start = F.struct(F.lit("").alias("out"), F.lit(1).alias("at"))
+        return F.aggregate(F.sequence(F.lit(1), F.length(x["written"])), start, add, lambda s: s["out"])
+
+    return bound(F.struct(written.alias("written"), digits.alias("digits")), fill)
 
 
 def _digits(m: Column) -> Column:
@@ -97,11 +108,13 @@ def _digits(m: Column) -> Column:
 
 
 def _card(m: Column) -> Column:
-    digits = _digits(m)
-    body = F.substring(digits, F.lit(1), F.length(digits) - 1)
-    valid = (luhn_sum(body) + F.substring(digits, F.length(digits), F.lit(1)).cast("int")) % 10 == 0
-    new = feistel(body, "card")
-    return F.when(valid, _refilled(m, F.concat(new, ((10 - luhn_sum(new) % 10) % 10).cast("string")))).otherwise(m)
+    def changed(digits: Column) -> Column:
+        body = F.substring(digits, F.lit(1), F.length(digits) - 1)
+        valid = (luhn_sum(body) + F.substring(digits, F.length(digits), F.lit(1)).cast("int")) % 10 == 0
+        checked = bound(feistel(body, "card"), lambda new: F.concat(new, ((10 - luhn_sum(new) % 10) % 10).cast("string")))
+        return F.when(valid, _refilled(m, checked)).otherwise(m)
+
+    return bound(_digits(m), changed)
 
 
 def _phone(m: Column) -> Column:
@@ -120,7 +133,7 @@ def _ip(m: Column) -> Column:
     octets = F.transform(F.split(m, r"\."), lambda o: o.cast("long"))
     number = F.aggregate(octets, F.lit(0).cast("long"), lambda n, o: n * 256 + o)
     new = walked(F.lpad(number.cast("string"), 10, "0"), "ip", lambda d: d.cast("long") < 1 << 32).cast("long")
-    written = F.concat_ws(".", *[(F.shiftright(new, s) % 256).cast("string") for s in (24, 16, 8, 0)])
+    written = bound(new, lambda n: F.concat_ws(".", *[(F.shiftright(n, s) % 256).cast("string") for s in (24, 16, 8, 0)]))
     return F.when(F.forall(octets, lambda o: o <= 255), written).otherwise(m)
 
 
@@ -128,11 +141,17 @@ def _date(m: Column) -> Column:
     iso = F.substring(m, 5, 1) == "-"
     dotted = F.substring(m, 3, 1) == "."
     written = F.when(iso, m).otherwise(F.concat_ws("-", F.substring(m, 7, 4), F.substring(m, 4, 2), F.substring(m, 1, 2)))
-    day = F.datediff(F.try_to_timestamp(written, F.lit("yyyy-MM-dd")).cast("date"), F.lit("1900-01-01"))
-    new = walked(F.lpad(day.cast("string"), 5, "0"), "date", lambda d: d.cast("int") < _DAYS).cast("int")
-    date = F.date_add(F.lit("1900-01-01").cast("date"), new)
-    out = F.when(iso, F.date_format(date, "yyyy-MM-dd")).when(dotted, F.date_format(date, "dd.MM.yyyy")).otherwise(F.date_format(date, "dd/MM/yyyy"))
-    return F.when(day.isNotNull() & (day >= 0) & (day < _DAYS), out).otherwise(m)
+    days = F.datediff(F.try_to_timestamp(written, F.lit("yyyy-MM-dd")).cast("date"), F.lit("1900-01-01"))
+
+    def spelled(date: Column) -> Column:
+        return F.when(iso, F.date_format(date, "yyyy-MM-dd")).when(dotted, F.date_format(date, "dd.MM.yyyy")).otherwise(F.date_format(date, "dd/MM/yyyy"))
+
+    def changed(day: Column) -> Column:
+        new = walked(F.lpad(day.cast("string"), 5, "0"), "date", lambda d: d.cast("int") < _DAYS).cast("int")
+        valid = day.isNotNull() & (day >= 0) & (day < _DAYS)
+        return F.when(valid, bound(F.date_add(F.lit("1900-01-01").cast("date"), new), spelled)).otherwise(m)
+
+    return bound(days, changed)
 
 
 def _email(m: Column) -> Column:
