@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cellweave.llm.common import key_and_text, small_batches, texts_of
+from cellweave.session import write_stage
 
 #: Symbols that stand for letters.
 LOOK_ALIKES = {
@@ -240,23 +241,27 @@ def toxicity(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "d
     most FIT_ROWS of them.  Null and empty texts have no hits.  When the labels
     learned from lack one of the two classes, the score is their toxic share (0
     without any).  Rows without a label are scored only; repeated rows come back
-    repeated; a label given twice counts by its largest value.
+    repeated; a label given twice counts by its largest value, and a labelled key
+    that several rows share is learned from once, by its smallest text.
     """
     rows = key_and_text(docs, id_col, text_col)
     counts = letter_counts(docs, text_col)
-    known = labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).cast("int").alias("label")).filter("label in (0, 1)")
+    known = labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).cast("int").alias("label")).filter("label in (0, 1) and doc_id is not null")
     known = known.groupBy("doc_id").agg(F.max("label").alias("label")).filter(learn)
     total = known.count()
     kept = known if total <= FIT_ROWS else known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(1_000_000 * 0.95 * FIT_ROWS / total))
-    sample = rows.join(kept, "doc_id").select("text", "label")
-    tally = {r["label"]: r["n"] for r in kept.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    # at most about FIT_ROWS keys are broadcast, so only the texts of the sample move, once
+    labelled = rows.join(F.broadcast(write_stage(kept, "labels")), "doc_id")
+    sample = write_stage(labelled.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("label").alias("label")).select("text", "label"), "sample")
+    tally = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     toxic, clean = tally.get(1, 0), tally.get(0, 0)
     if not toxic or not clean:
         share = toxic / (toxic + clean) if toxic + clean else 0.0
         return rows.select("doc_id", F.lit(share).alias("score"), F.array().cast("array<string>").alias("hits"))
     lexicon = learn_lexicon(sample, counts, toxic, clean)
     features = array_to_vector(F.array(F.log1p(F.size("hits").cast("double")), F.log1p(F.size(F.array_distinct("hits")).cast("double")), (F.size("hits") > 0).cast("double")))
-    fitted = LogisticRegression(regParam=0.001, maxIter=50).fit(_hit_rows(sample, counts, lexicon).select(features.alias("features"), F.col("label").cast("double").alias("label")))
+    seen = write_stage(_hit_rows(sample, counts, lexicon), "sample-hits")
+    fitted = LogisticRegression(regParam=0.001, maxIter=50).fit(seen.select(features.alias("features"), F.col("label").cast("double").alias("label")))
     a, (b, c, d) = float(fitted.intercept), (float(x) for x in fitted.coefficients)
     margin = F.lit(a) + b * F.log1p(F.size("hits").cast("double")) + c * F.log1p(F.size(F.array_distinct("hits")).cast("double")) + d * (F.size("hits") > 0).cast("double")
     return _hit_rows(rows, counts, lexicon).select("doc_id", (1 / (1 + F.exp(-margin))).alias("score"), "hits")
