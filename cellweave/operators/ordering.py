@@ -4,26 +4,25 @@ A window over ``(key)`` sends one key's rows to one task.  Here the rows are
 first cut into ranges of the ordered column (``Bucketizer`` over approximate
 quantiles, so each range holds about the same share of all rows), windows run
 within ``(key, range)``, and the ranges are tied together by their totals: at
-most one row per key and range.  A staged table that was counted and found
-small skips the ranges.
+most one row per key and range.  This is done at every size.  Ordered columns
+are numeric; nulls come first and NaN last, as in an ascending Spark sort.
 """
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
+from pyspark.sql.types import NumericType
 
 from cellweave.session import write_stage
 
 RANGE = "_range"
 
-# A table of at most this many rows, counted before it is used, may be ordered by plain windows.
-ONE_TASK_ROWS = 1_000_000
-
 
 def range_count(df: DataFrame) -> int:
     """Ranges to cut an ordered column into: four per shuffle partition, 32 to 2048."""
@@ -35,17 +34,18 @@ def with_range(df: DataFrame, column: str) -> DataFrame:
     """Add ``_range``: the index of the equal-share range that holds ``column``.
 
     The cut points are a bounded list of numbers fixed on the driver, so the
-    same row gets the same range whenever a task is run again.
+    same row gets the same range whenever a task is run again.  Equal values
+    share a range; nulls have range -1, NaN the last one.
     """
+    if not isinstance(df.schema[column].dataType, NumericType):
+        raise TypeError(f"{column} must be numeric to be ordered by ranges, not {df.schema[column].dataType.simpleString()}")
     count = range_count(df)
     probs = [i / count for i in range(1, count)]
-    cuts = sorted(set(df.select(F.col(column).cast("double").alias("_v")).approxQuantile("_v", probs, 0.25 / count)))
-    if not cuts:
-        return df.withColumn(RANGE, F.lit(0.0))
-    splits = [float("-inf"), *cuts, float("inf")]
+    found = df.select(F.col(column).cast("double").alias("_v")).approxQuantile("_v", probs, 0.25 / count)
+    cuts = sorted({c for c in found if math.isfinite(c)}) or [0.0]
     work = df.withColumn("_v", F.col(column).cast("double"))
-    bucketizer = Bucketizer(splits=splits, inputCol="_v", outputCol=RANGE, handleInvalid="keep")
-    return bucketizer.transform(work).drop("_v")
+    bucketizer = Bucketizer(splits=[-math.inf, *cuts, math.inf], inputCol="_v", outputCol=RANGE, handleInvalid="keep")
+    return bucketizer.transform(work).withColumn(RANGE, F.when(F.col("_v").isNull(), -1.0).otherwise(F.col(RANGE))).drop("_v")
 
 
 def _range_offsets(totals: DataFrame, keys: list[str], column: str) -> DataFrame:
@@ -70,10 +70,6 @@ def value_positions(counts: DataFrame, keys: list[str], value: str, n: str, stag
     rows = counts.where(F.col(value).isNotNull() & (F.col(n) > 0))
     if not staged:
         rows = write_stage(rows, "positions")
-    if rows.count() <= ONE_TASK_ROWS:
-        return _placed(rows, keys, value, n, W.partitionBy(*keys)).withColumns(
-            {"total": F.sum(n).over(W.partitionBy(*keys)), RANGE: F.lit(0.0)}
-        )
     ranged = with_range(rows, value)
     offsets = _range_offsets(ranged.groupBy(*keys, RANGE).agg(F.sum(n).alias("_n")), keys, "_n")
     local = _placed(ranged, keys, value, n, W.partitionBy(*keys, RANGE))
@@ -145,12 +141,10 @@ def number_rows(df: DataFrame, keys: list[str], order: str, ties: list[str] | No
     """1-based row number per key along the numeric column ``order``.
 
     Like ``row_number()`` over the key, but a key that holds a third of all
-    rows is numbered by many tasks.
+    rows is numbered by many tasks.  ``order`` is a position: many rows of one
+    value, or without one, would be numbered by one task.
     """
     staged = write_stage(df, "numbered")
-    if staged.count() <= ONE_TASK_ROWS:
-        window = W.partitionBy(*keys).orderBy(order, *(ties or []))
-        return staged.withColumn(name, F.row_number().over(window).cast("long"))
     ranged = with_range(staged, order)
     totals = ranged.groupBy(*keys, RANGE).agg(F.count("*").alias("_n"))
     offsets = _range_offsets(totals, keys, "_n")
@@ -161,16 +155,23 @@ def number_rows(df: DataFrame, keys: list[str], order: str, ties: list[str] | No
 
 
 def first_n(df: DataFrame, order: str, n: int) -> DataFrame:
-    """The first ``n`` rows along a unique numeric column.
+    """Exactly the first ``n`` rows along a numeric column, or all when there are fewer.
 
-    A long cut is found on the ordered column alone and then applied as a
-    filter, so the kept rows stay spread over all tasks.
+    Nulls come first; which of several equal rows stay at the cut is open.  Whole
+    ranges stay spread over all tasks; only the range with the cut is sorted.
     """
-    if n <= ONE_TASK_ROWS:
-        return df.orderBy(order).limit(n)
-    placed = value_positions(df.select(order, F.lit(1).alias("_n")), [], order, "_n")
-    cut = placed.where(F.col("before") < n).select(F.max(order)).scalar()
-    return df.where(F.col(order) <= cut)
+    ranged = with_range(write_stage(df, "first"), order)
+    sizes = sorted((r[RANGE], r["_n"]) for r in ranged.groupBy(RANGE).agg(F.count("*").alias("_n")).collect())
+    left, cut = n, None
+    for place, size in sizes:
+        if size > left:
+            cut = place
+            break
+        left -= size
+    if cut is None:
+        return ranged.drop(RANGE)
+    inside = ranged.where(F.col(RANGE) == cut).withColumn("_local", F.row_number().over(W.partitionBy(RANGE).orderBy(order)))
+    return ranged.where(F.col(RANGE) < cut).unionByName(inside.where(F.col("_local") <= left).drop("_local")).drop(RANGE)
 
 
 def bh_adjust(df: DataFrame, keys: list[str], p: str, name: str = "p_adj") -> DataFrame:

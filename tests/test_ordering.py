@@ -42,6 +42,24 @@ def test_number_rows_matches_window(spark, both_ways):
 def test_first_n(spark, both_ways):
     df = spark.range(300).withColumn("v", F.col("id") * 2)
     assert sorted(r.id for r in o.first_n(df, "v", 7).collect()) == list(range(7))
+    assert o.first_n(df, "v", 0).count() == 0 and o.first_n(df, "v", 1000).count() == 300
+
+
+ODD = [(1, 5.0), (2, None), (3, -1.0), (4, 3.0), (5, float("nan")), (6, float("inf")), (7, float("-inf")), (8, None), (9, 3.0), (10, -0.0)]
+
+
+def test_odd_order_values_give_the_rows_of_a_plain_sort(spark, both_ways):
+    df = spark.createDataFrame(ODD, "id long, v double")
+    whole = [r.v for r in df.orderBy("v").collect()]
+    for n in range(len(ODD) + 2):
+        assert sorted(map(repr, (r.v for r in o.first_n(df, "v", n).collect()))) == sorted(map(repr, whole[:n]))
+    numbered = {r.row_no: r.v for r in o.number_rows(df, [], "v").collect()}
+    assert [repr(numbered[i]) for i in range(1, len(ODD) + 1)] == list(map(repr, whole))
+
+
+def test_order_column_must_be_a_number(spark):
+    with pytest.raises(TypeError):
+        o.first_n(spark.createDataFrame([("a",)], "v string"), "v", 1)
 
 
 def _bh(p):
