@@ -26,6 +26,7 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from cellweave.llm.common import key_and_text, small_batches, texts_of
 from cellweave.session import write_stage
@@ -206,7 +207,7 @@ def _hit_rows(docs: DataFrame, counts: np.ndarray, lexicon: set[str]) -> DataFra
             found = pa.array([hits.of(t) for t in texts_of(batch)], pa.list_(pa.string()))
             yield pa.record_batch([*(batch.column(f.name) for f in kept), found], [*(f.name for f in kept), "hits"])
 
-    return docs.mapInArrow(run, ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), "hits array<string>"]))
+    return docs.mapInArrow(run, StructType([*kept, StructField("hits", ArrayType(StringType()))]))
 
 
 def learn_lexicon(sample: DataFrame, counts: np.ndarray, toxic: int, clean: int) -> set[str]:
@@ -234,9 +235,12 @@ def learn_lexicon(sample: DataFrame, counts: np.ndarray, toxic: int, clean: int)
     return lexicon | set(often)
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> DataFrame:
+def toxicity(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", whole_rows: bool = False) -> DataFrame:
     """(doc_id, score, hits) of every row of ``docs``; ``hits`` are the restored toxic words.
 
+    With ``whole_rows`` a fourth column ``row`` holds the row as it came, so a
+    caller can filter by the score without joining texts again.
+
     Labels are learned from rows where ``learn`` (over ``doc_id``) is true, at
     most FIT_ROWS of them.  Null and empty texts have no hits.  When the labels
     learned from lack one of the two classes, the score is their toxic share (0
@@ -245,6 +249,8 @@ def toxicity(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "d
     that several rows share is learned from once, by its smallest text.
     """
     rows = key_and_text(docs, id_col, text_col)
+    asked = rows if not whole_rows else docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.struct("*").alias("row"))
+    carried = ["row"] if whole_rows else []
     counts = letter_counts(docs, text_col)
     known = labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).cast("int").alias("label")).filter("label in (0, 1) and doc_id is not null")
     known = known.groupBy("doc_id").agg(F.max("label").alias("label")).filter(learn)
@@ -257,11 +263,11 @@ def toxicity(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "d
     toxic, clean = tally.get(1, 0), tally.get(0, 0)
     if not toxic or not clean:
         share = toxic / (toxic + clean) if toxic + clean else 0.0
-        return rows.select("doc_id", F.lit(share).alias("score"), F.array().cast("array<string>").alias("hits"))
+        return asked.select("doc_id", F.lit(share).alias("score"), F.array().cast("array<string>").alias("hits"), *carried)
     lexicon = learn_lexicon(sample, counts, toxic, clean)
     features = array_to_vector(F.array(F.log1p(F.size("hits").cast("double")), F.log1p(F.size(F.array_distinct("hits")).cast("double")), (F.size("hits") > 0).cast("double")))
     seen = write_stage(_hit_rows(sample, counts, lexicon), "sample-hits")
     fitted = LogisticRegression(regParam=0.001, maxIter=50).fit(seen.select(features.alias("features"), F.col("label").cast("double").alias("label")))
     a, (b, c, d) = float(fitted.intercept), (float(x) for x in fitted.coefficients)
     margin = F.lit(a) + b * F.log1p(F.size("hits").cast("double")) + c * F.log1p(F.size(F.array_distinct("hits")).cast("double")) + d * (F.size("hits") > 0).cast("double")
-    return _hit_rows(rows, counts, lexicon).select("doc_id", (1 / (1 + F.exp(-margin))).alias("score"), "hits")
+    return _hit_rows(asked, counts, lexicon).select("doc_id", (1 / (1 + F.exp(-margin))).alias("score"), "hits", *carried)
