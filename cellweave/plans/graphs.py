@@ -113,7 +113,7 @@ def fuzzy_connectivities(spark, sf):
 @query("graph_communities")
 def graph_communities(spark, sf):
     weights = write_stage(niches.fuzzy_weights(_knn_edges(spark, sf)), "weights")
-    return niches.communities(weights, v.representation(spark, sf), (0.5, 1.0))
+    return niches.communities(weights, v.representation(spark, sf), (0.1, 0.5, 0.6, 0.7, 1.0))
 
 
 v.add_sql_view(
@@ -237,9 +237,9 @@ def _niche_features(spark, sf):
 
 @query("gmm_niches")
 def gmm_niches(spark, sf):
-    return embed.gmm_labels(_niche_features(spark, sf), (5, 7, 10))
+    return embed.gmm_labels(_niche_features(spark, sf), (5, 7, 10, 15, 20))
 
 
 @query("gmm_bic_aic")
 def gmm_bic_aic(spark, sf):
-    return embed.gmm_criteria(_niche_features(spark, sf), 10, (5, 7, 10))
+    return embed.gmm_criteria(_niche_features(spark, sf), 10, (5, 7, 10, 15, 20))

@@ -122,14 +122,16 @@ def join_fail_on_missing(spark, sf):
 
 @query(
     "align_strict",
-    """SELECT sample, COUNT(c) AS n_shared, COUNT(*) - COUNT(c) AS n_left_only, 0::BIGINT AS n_right_only,
-    COUNT(*) = COUNT(c) AS aligned FROM obs LEFT JOIN (SELECT DISTINCT cell_id AS c FROM x) ON c = cell_id GROUP BY 1""",
+    """SELECT sample, COUNT(*) FILTER (l AND r) AS n_shared, COUNT(*) FILTER (l AND NOT r) AS n_left_only,
+    COUNT(*) FILTER (r AND NOT l) AS n_right_only, COUNT(*) FILTER (l AND r) = COUNT(*) AS aligned FROM (SELECT sample,
+    cell_id % 10 <> 3 AS l, cell_id % 10 <> 7 AND c IS NOT NULL AS r FROM obs LEFT JOIN (SELECT DISTINCT cell_id AS c FROM x)
+    ON c = cell_id) WHERE l OR r GROUP BY 1""",
     "x obs",
 )
 def align_strict(spark, sf):
     obs = v.cells(spark, sf).select("cell_id", "sample")
-    seen = v.counts(spark, sf).select("cell_id").distinct().join(obs, "cell_id")
-    return align.key_overlap(obs, seen, "cell_id", by="sample")
+    seen = v.counts(spark, sf).where("cell_id % 10 <> 7").select("cell_id").distinct().join(obs, "cell_id")
+    return align.key_overlap(obs.where("cell_id % 10 <> 3"), seen, "cell_id", by="sample")
 
 
 @query(

@@ -48,10 +48,10 @@ def scan_wide_to_long(spark, sf):
     wide = (
         v.table(spark, sf, "lineitem")
         .groupBy((F.col("l_orderkey") % 40).alias("fov"), F.col("l_orderkey").alias("cell_ID"))
-        .pivot("l_linenumber", list(range(1, 8))).agg(F.sum("l_quantity"))
+        .pivot("l_linenumber").agg(F.sum("l_quantity"))
         .fillna(0)
     )
-    wide = wide.select("fov", "cell_ID", *[F.col(str(i)).cast("int").alias(f"G{i}") for i in range(1, 8)])
+    wide = wide.select("fov", "cell_ID", *[F.col(c).cast("int").alias(f"G{c}") for c in wide.columns[2:]])
     return text.wide_to_long(spark, _csv(wide, spark, "wide")).select("cell_key", "gene", "value")
 
 

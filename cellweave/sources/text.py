@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from cellweave.session import write_stage
+
 # --- lines -------------------------------------------------------------------
 
 
@@ -69,32 +71,52 @@ def metadata_table(spark: SparkSession, path: str, columns: dict[str, str]) -> D
     return raw.select(*[F.col(f"`{c}`").try_cast(t).alias(c) for c, t in columns.items() if c in raw.columns])
 
 
+# One field of a CSV line that starts with a comma: quoted, with doubled quotes inside, or plain.
+_FIELD = r',(\s*"[^"]*+(?:""[^"]*+)*+"\s*|[^,]*)'
+
+
+def csv_fields(value: Column) -> Column:
+    """The fields of a CSV line as text, without the quotes around them."""
+
+    def bare(field: Column) -> Column:
+        f = F.trim(field)
+        inside = F.replace(F.substring(f, F.lit(2), F.length(f) - 2), F.lit('""'), F.lit('"'))
+        return F.when(f.startswith('"') & f.endswith('"') & (F.length(f) > 1), inside).otherwise(f)
+
+    quoted = F.transform(F.regexp_extract_all(F.concat(F.lit(","), value), F.lit(_FIELD), F.lit(1)), lambda f: bare(f))
+    return F.when(value.contains('"'), quoted).otherwise(F.transform(F.split(value, ","), lambda f: F.trim(f)))
+
+
 def wide_to_long(
     spark: SparkSession, path: str, keys: Sequence[str] = ("fov", "cell_ID"), fovs: Sequence[str] | None = None
 ) -> DataFrame:
-    """A wide cells x genes CSV as (keys..., cell_key, gene, value) without zeros.
+    """Wide cells x genes CSV files as (keys..., cell_key, gene, value) without zeros.
 
-    Lines are split once and paired with the header by position, so thousands
-    of gene columns cost one expression.
+    Every file is read by its own header, so files may order or choose their
+    genes differently; quoted names may hold commas.  Header and line are paired
+    by position before rows are made, so thousands of gene columns cost one
+    expression.  A file without the keys in front, or a line of another width
+    than its header, is an error; blank lines are skipped.
     """
-    lines = spark.read.text(path)
-    header = lines.first().value
-    names = [n.strip().strip('"') for n in header.split(",")]
-    if names[: len(keys)] != list(keys):
-        raise ValueError(f"expected the columns {list(keys)} first, found {names[:len(keys)]}")
-    genes = F.array(*[F.lit(n) for n in names[len(keys):]])
-    cells = lines.where(F.col("value") != header).select(F.split("value", ",").alias("_v")).select(
-        *[F.trim(F.col("_v")[i]).alias(k) for i, k in enumerate(keys)],
-        F.slice("_v", len(keys) + 1, len(names)).alias("_v"),
-    )
+    lines = read_lines(spark, path).where(F.trim("value") != "")
+    first = lines.where(F.col("block") == 0).groupBy("file").agg(F.min_by("value", "seq").alias("_header"))
+    names = csv_fields(F.col("_header"))
+    front = F.slice(names, 1, len(keys)) == F.array(*[F.lit(k) for k in keys])
+    no_keys = F.raise_error(F.concat(F.lit(f"expected the columns {list(keys)} first in "), F.col("file")))
+    headers = write_stage(first.select("file", "_header", F.when(front, names).otherwise(no_keys).alias("_names")), "headers")
+    rows = lines.select("file", "value").join(headers, "file").where(F.col("value") != F.col("_header"))
+    fields = csv_fields(F.col("value"))
+    torn = F.raise_error(F.concat(F.lit("a line does not have the width of its header in "), F.col("file")))
+    cells = rows.select("_names", F.when(F.size(fields) == F.size("_names"), fields).otherwise(torn).alias("_v"))
+    cells = cells.select("_names", "_v", *[F.col("_v")[i].alias(k) for i, k in enumerate(keys)])
     if fovs is not None:
         cells = cells.where(F.col(keys[0]).isin(list(fovs)))
-    return (
-        cells.select(*keys, F.posexplode("_v").alias("_p", "_t"))
-        .withColumn("value", F.col("_t").try_cast("double"))
-        .where("value <> 0")
-        .select(*keys, F.concat_ws("__", *keys).alias("cell_key"), F.get(genes, F.col("_p")).alias("gene"), "value")
+    genes = F.slice(F.arrays_zip("_names", "_v"), len(keys) + 1, F.size("_v"))
+    pairs = F.filter(
+        F.transform(genes, lambda e: F.struct(e["_names"].alias("gene"), e["_v"].try_cast("double").alias("value"))),
+        lambda e: e["value"] != 0,
     )
+    return cells.select(*keys, F.concat_ws("__", *keys).alias("cell_key"), F.inline(pairs))
 
 
 # --- Matrix Market and the barcode / feature / matrix triple ---------------------

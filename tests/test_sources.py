@@ -144,3 +144,26 @@ def test_cluster_needs_a_shared_folder():
     fake = SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda key, default: default))
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         session.shared_root(fake)
+
+
+def test_every_wide_file_is_read_by_its_own_header(spark, tmp_path):
+    (tmp_path / "w").mkdir()
+    (tmp_path / "w" / "a.csv").write_text('fov,cell_ID,GA,GB\n1,1,10,20\n\n')
+    (tmp_path / "w" / "b.csv").write_text('fov,cell_ID,GB,"GA, ""x""",GA\n1,2,100,3,"200"\n')
+    got = {(r.cell_key, r.gene, r.value) for r in text.wide_to_long(spark, f"{tmp_path}/w").collect()}
+    assert got == {("1__1", "GA", 10.0), ("1__1", "GB", 20.0), ("1__2", "GB", 100.0), ("1__2", 'GA, "x"', 3.0), ("1__2", "GA", 200.0)}
+
+
+def test_a_wide_line_of_another_width_is_an_error(spark, tmp_path):
+    (tmp_path / "w").mkdir()
+    (tmp_path / "w" / "a.csv").write_text("fov,cell_ID,GA,GB\n1,1,10\n")
+    with pytest.raises(Exception, match="width of its header"):
+        text.wide_to_long(spark, f"{tmp_path}/w").collect()
+
+
+def test_a_wide_file_of_thousands_of_genes(spark, tmp_path):
+    names = [f"G{i}" for i in range(3000)]
+    (tmp_path / "w").mkdir()
+    (tmp_path / "w" / "a.csv").write_text("\n".join([",".join(["fov", "cell_ID", *names]), ",".join(["1", "1", *map(str, range(3000))])]))
+    got = {r.gene: r.value for r in text.wide_to_long(spark, f"{tmp_path}/w").collect()}
+    assert got == {f"G{i}": float(i) for i in range(1, 3000)}
