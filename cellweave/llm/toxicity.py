@@ -3,9 +3,10 @@
 A written token is taken as a clean word sent through a channel that replaces
 letters by look-alikes, repeats letters and inserts separators or spaces.  The
 possible originals of a token form a lattice: a column of candidate letters per
-symbol, with a cost for each substitution, repetition and deletion.  Viterbi
-decoding finds the original of least cost under a trigram model of letters that
-is counted over the whole corpus.
+symbol, with a cost for each substitution, repetition and deletion.  Where a
+separator or space was written the lattice may also end a word, so joined and
+spelled-out words come apart.  Viterbi decoding finds the original of least cost
+under a trigram model of letters that is counted over the whole corpus.
 
 Restored words are scored with a lexicon learned from labels: words are chosen
 one at a time by the toxic documents that the words before them leave
@@ -38,6 +39,8 @@ LOOK_ALIKES = {
 }
 SEPARATORS = set(".-_~/\\'")
 SWAP, REPEAT, DROP, EDGE = 1.0, 0.7, 6.0, 0.3
+#: A letter written twice is mostly meant so; dropping one has to pay more than the letter that it saves.
+DOUBLED = 2.5
 #: Labelled rows that the classifier is fitted on, chosen by hash, and words looked at for the lexicon.
 FIT_ROWS, CANDIDATES = 20_000, 2_000
 #: Weight of the lexicon in the letter model that decodes documents.
@@ -79,8 +82,8 @@ class Restorer:
 
     @staticmethod
     def noisy(token: str) -> bool:
-        same = [a == b for a, b in zip(token, token[1:])]
-        return not token.isalpha() or sum(same) >= 3 or any(a and b for a, b in zip(same, same[1:]))
+        """Whether the lattice of a token has more than one path."""
+        return not token.isalpha() or any(a == b for a, b in zip(token, token[1:]))
 
     @staticmethod
     def columns(token: str) -> list[list[tuple[str, float]]]:
@@ -91,31 +94,49 @@ class Restorer:
             edge = at in (0, len(runs) - 1)
             options: list[tuple[str, float]] = []
             if symbol.isalpha():
-                options += [(symbol, REPEAT * (n > 1)), *([(symbol * 2, REPEAT * (n > 2))] if n > 1 else [])]
+                options += [(symbol, (0.0, 0.0, DOUBLED, REPEAT)[min(n, 3)]), *([(symbol * 2, REPEAT * (n > 2))] if n > 1 else [])]
             for letter in LOOK_ALIKES.get(symbol, ""):
                 wild = math.log(26) if symbol == "*" else 0.0
                 options += [(letter, SWAP + wild + REPEAT * (n > 1)), *([(letter * 2, SWAP + wild + REPEAT * (n > 2))] if n > 1 else [])]
             if not symbol.isalpha():
                 options.append(("", EDGE if symbol in SEPARATORS or (edge and symbol not in "0123456789@$") else DROP))
+                if symbol not in LOOK_ALIKES:
+                    options.append((" ", EDGE))
             out.append(options)
         return out
 
+    @staticmethod
+    def spelled(letters: str) -> list[list[tuple[str, float]]]:
+        """Columns of symbols written with a space after each, any of which may end a word."""
+        out: list[list[tuple[str, float]]] = []
+        for symbol, group in itertools.groupby(letters):
+            n = len(list(group))
+            options = Restorer.columns(symbol * n)[0]
+            if n > 1:
+                options = options + [(a + " " + a, price) for a, price in Restorer.columns(symbol)[0] if a not in ("", " ")]
+            out += [options, [("", 0.0), (" ", 0.0)]]
+        return out[:-1]
+
     def restore(self, token: str) -> str:
-        """The likeliest clean word; clean tokens stay as they are."""
+        """The likeliest clean word, or words with spaces between; clean tokens stay as they are."""
         token = token.strip(".,;:?#%&\"'()[]{}<>")
         for symbol in "!$*":
             if token.endswith(symbol * 2):
                 token = token.rstrip(symbol)
         if not token or not self.noisy(token):
             return token
+        return self.decode(self.columns(token))
+
+    def decode(self, columns: list[list[tuple[str, float]]]) -> str:
+        """The path of least cost through the lattice."""
         best = {(0, 0): (0.0, None, "")}
-        for options in self.columns(token):
+        for options in columns:
             step: dict[tuple[int, int], tuple] = {}
             for (a, b), path in best.items():
                 for letters, price in options:
                     cost, x, y = path[0] + price, a, b
                     for letter in letters:
-                        z = ord(letter) - 96 if "a" <= letter <= "z" else 27
+                        z = ord(letter) - 96 if "a" <= letter <= "z" else 27 * (letter != " ")
                         cost, x, y = cost + self.cost[x][y][z], y, z
                     if (x, y) not in step or cost < step[x, y][0]:
                         step[x, y] = (cost, path, letters)
@@ -125,26 +146,27 @@ class Restorer:
         while path is not None:
             letters.append(path[2])
             path = path[1]
-        return "".join(reversed(letters))
+        return " ".join("".join(reversed(letters)).split())
+
+    def segment(self, letters: str) -> list[str]:
+        """The words of a spelled-out run; as a whole, or without either end, it may be one word too."""
+        out = self.decode(self.spelled(letters)).split()
+        return out + [w for w in dict.fromkeys(self.restore(t) for t in (letters, letters[1:], letters[:-1])) if w not in out]
 
     def words(self, text: bytes) -> list[str]:
         """Restored words of a whole text, spaced-out words joined."""
         tokens = text.decode("utf-8", "replace").lower().split()
-        return [self.restore(t) for t in [*tokens, *spaced(tokens)]]
+        return [*itertools.chain.from_iterable(self.restore(t).split() for t in tokens), *itertools.chain.from_iterable(self.segment(t) for t in spaced(tokens))]
 
 
 def spaced(tokens: list[str]) -> list[str]:
-    """Words written with spaces: joined runs of three or more tokens of one symbol.
-
-    A run may swallow a one-letter word at either end, so it is also given without.
-    """
+    """Words written with spaces: joined runs of three or more tokens of one symbol."""
     out = []
     if sum(len(t) == 1 for t in tokens) >= 3:
         for single, run in itertools.groupby(tokens, key=lambda t: len(t) == 1 or (len(t) == 2 and t[1] in ".,!?-")):
             letters = [t[0] for t in run] if single else []
             if len(letters) >= 3:
-                joined = "".join(letters)
-                out += [joined, joined[1:], joined[:-1]]
+                out.append("".join(letters))
     return out
 
 
@@ -154,9 +176,10 @@ class Hits:
     def __init__(self, restorer: Restorer, lexicon: set[str]) -> None:
         self.restorer, self.lexicon, self.memo = restorer, lexicon, {}
 
-    def one(self, token: str) -> str | None:
-        word = self.restorer.restore(token)
-        found = word if word in self.lexicon else None
+    def one(self, token: str) -> list[str]:
+        """Lexicon words of a token; one that starts with a space is a spelled-out run."""
+        words = self.restorer.segment(token[1:]) if token[0] == " " else self.restorer.restore(token).split()
+        found = [w for w in words if w in self.lexicon]
         if len(self.memo) >= _MEMO:
             self.memo.clear()
         if len(token) <= 40:
@@ -166,12 +189,12 @@ class Hits:
     def of(self, text: bytes) -> list[str]:
         tokens = text.decode("utf-8", "replace").lower().split()
         memo, missing, out = self.memo, object(), []
-        for token in itertools.chain(tokens, spaced(tokens)):
+        for token in itertools.chain(tokens, (" " + run for run in spaced(tokens))):
             found = memo.get(token, missing)
             if found is missing:
                 found = self.one(token)
-            if found is not None:
-                out.append(found)
+            if found:
+                out += found
         return out
 
 
