@@ -25,6 +25,7 @@ characters are handed out as they become complete.
 from __future__ import annotations
 
 import base64
+import hashlib
 import struct
 from collections.abc import Iterable, Iterator
 
@@ -33,13 +34,16 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from cellweave.llm.common import key_and_text, small_batches
 
 #: States, and memorised pieces, after which a worker starts anew; results do not depend on them.
-MOST_STATES = 100_000
-MOST_PIECES = 500_000
+MOST_STATES = 300_000
+MOST_PIECES = 600_000
+#: Fixed value: the split pattern of the published byte-level vocabularies.  None of its matches runs from other
+#: characters into white space, and a match that starts in white space before a blank ends there at a blank that other
+#: characters follow; so a text whose blanks are all followed by other characters may be cut before each of them.
+CUT_BEFORE_BLANKS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Bytes after which certain tokens of a long piece are emitted; more than twice the longest token.
 HOLD = 1024
 _NEVER = 1 << 60
@@ -182,24 +186,41 @@ class Transducer:
 
 
 class Encoder(dict):
-    """Pieces to packed ids (little-endian unsigned 32-bit), memorised; short pieces repeat a lot."""
+    """Parts of texts to packed ids (little-endian unsigned 32-bit), memorised; short parts repeat a lot."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str) -> None:
         super().__init__()
         self.transducer = Transducer(ranks)
         self.split = regex.compile(pattern).findall
+        self.cut = pattern == CUT_BEFORE_BLANKS
+        self.loose = regex.compile(r" (?!\S)").search
+        self.pieces: dict[str, bytes] = {}
+
+    def piece(self, piece: str) -> bytes:
+        """The ids of one match of the pattern."""
+        packed = self.pieces.get(piece)
+        if packed is None:
+            ids = self.transducer.encode(piece.encode("utf-8"))
+            packed = struct.pack(f"<{len(ids)}I", *ids)
+            if len(piece) <= 32:
+                if len(self.pieces) >= MOST_PIECES:
+                    self.pieces.clear()
+                self.pieces[piece] = packed
+        return packed
 
-    def __missing__(self, piece: str) -> bytes:
-        ids = self.transducer.encode(piece.encode("utf-8"))
-        packed = struct.pack(f"<{len(ids)}I", *ids)
-        if len(piece) <= 32:
+    def __missing__(self, part: str) -> bytes:
+        packed = b"".join(map(self.piece, self.split(part)))
+        if len(part) <= 48:
             if len(self) >= MOST_PIECES:
                 self.clear()
-            self[piece] = packed
+            self[part] = packed
         return packed
 
     def encode(self, text: str) -> bytes:
-        return b"".join(map(self.__getitem__, self.split(text)))
+        if not self.cut or self.loose(text):
+            return b"".join(map(self.piece, self.split(text)))
+        first, *rest = text.split(" ")
+        return b"".join(map(self.__getitem__, [first, *map(" ".__add__, rest)]))
 
 
 def utf8_step(state: tuple[int, int, int], byte: int) -> tuple[int, int, int] | None:
@@ -221,58 +242,64 @@ def utf8_step(state: tuple[int, int, int], byte: int) -> tuple[int, int, int] |
 _READY = (0, 0, 0)
 
 
+def _run(state: tuple | None, data: bytes) -> tuple | None:
+    """The state after ``data``; None is an error."""
+    for byte in data:
+        state = utf8_step(state, byte)
+        if state is None:
+            return None
+    return state
+
+
 class Decoder:
-    """Token ids to bytes; ``feed`` hands out whole characters only."""
+    """Token ids to bytes; ``feed`` hands out whole characters only.
+
+    Bytes are gathered from one array of all tokens.  The UTF-8 state machine
+    runs over the tokens that are no whole characters by themselves; the others
+    leave its state as it is.
+    """
 
     def __init__(self, ranks: dict[bytes, int]) -> None:
-        self.tokens = {rank: token for token, rank in ranks.items()}
-        self.clean = np.zeros(max(self.tokens, default=0) + 1, dtype=bool)
-        for rank, token in self.tokens.items():
-            self.clean[rank] = self._run(_READY, token)[0] == _READY
+        size = max(ranks.values(), default=0) + 1
+        tokens = [b""] * size
+        for token, rank in ranks.items():
+            tokens[rank] = token
+        self.tokens = tokens
+        self.bytes = np.frombuffer(b"".join(tokens), dtype=np.uint8)
+        self.length = np.array([len(t) for t in tokens], dtype=np.int64)
+        self.start = np.cumsum(self.length) - self.length
+        self.clean = np.array([_run(_READY, t) == _READY for t in tokens], dtype=bool)
+        self.steps: dict[tuple, tuple | None] = {}
         self.reset()
 
-    @staticmethod
-    def _run(state: tuple | None, data: bytes) -> tuple[tuple | None, int]:
-        """The state after ``data`` and where its last whole character ends."""
-        whole = 0
-        for at, byte in enumerate(data, 1):
-            state = utf8_step(state, byte)
-            if state is None:
-                return None, whole
-            if state == _READY:
-                whole = at
-        return state, whole
-
     def reset(self) -> None:
         self.state, self.held, self.valid = _READY, b"", True
 
     def feed(self, ids: np.ndarray) -> bytes:
         """Bytes of the characters that these ids complete; bytes that are no UTF-8 pass as they are."""
-        table, out, at = self.tokens, [], 0
-        odd = np.flatnonzero(~self.clean[ids]).tolist()
-        values = ids.tolist()
-        for k in [*odd, len(values)]:
-            if at < k and self.held:  # characters are open: step until they close
-                continue_at = at
-                while continue_at < k and self.held:
-                    out.append(self._step(table[values[continue_at]]))
-                    continue_at += 1
-                at = continue_at
-            if at < k:
-                out.append(b"".join(map(table.__getitem__, values[at:k])))
-                at = k
-            if k < len(values) and at == k:
-                out.append(self._step(table[values[k]]))
-                at = k + 1
-        return b"".join(out)
-
-    def _step(self, token: bytes) -> bytes:
-        data = self.held + token
-        state, whole = self._run(_READY, data)
-        if state is None:
-            self.valid, self.held = False, b""
-            return data
-        self.held = data[whole:]
+        length = self.length[ids]
+        ends = np.cumsum(length)
+        places = np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.start[ids] - ends + length, length)
+        data = self.held + self.bytes[places].tobytes()
+        state, behind = self.state, -1
+        odd = np.flatnonzero(~self.clean[ids])
+        for k, token in zip(odd.tolist(), ids[odd].tolist()):
+            if state != _READY and k != behind + 1:  # a clean token breaks the character off
+                state, self.valid = _READY, False
+            found = self.steps.get((state, token))
+            if found is None:
+                found = self.steps[state, token] = _run(state, self.tokens[token])
+            state, behind = found, k
+            if state is None:
+                state, self.valid = _READY, False
+        if state != _READY and behind != len(ids) - 1 and len(ids):
+            state, self.valid = _READY, False
+        whole = len(data)
+        if state != _READY:  # the open character starts at the last byte that continues none
+            whole -= 1
+            while data[whole] & 0xC0 == 0x80:
+                whole -= 1
+        self.state, self.held = state, data[whole:]
         return data[:whole]
 
     def finish(self) -> bytes:
@@ -282,6 +309,14 @@ class Decoder:
         return rest
 
 
+def pieces(decoder: Decoder, ids: np.ndarray, chunk: int) -> Iterable[bytes]:
+    """The bytes of one document's ids, ``chunk`` ids at a time."""
+    decoder.reset()
+    for at in range(0, len(ids), chunk):
+        yield decoder.feed(ids[at : at + chunk])
+    yield decoder.finish()
+
+
 _SHARED: dict[tuple, tuple[Encoder, Decoder]] = {}
 
 
@@ -323,18 +358,12 @@ def decode(encoded: DataFrame, path: str, pattern: str, chunk: int = 1 << 16) ->
     ranks = load_ranks(path)
     shared = encoded.sparkSession.sparkContext.broadcast(ranks)
 
-    def pieces(decoder: Decoder, ids: np.ndarray) -> Iterable[bytes]:
-        decoder.reset()
-        for at in range(0, len(ids), chunk):
-            yield decoder.feed(ids[at : at + chunk])
-        yield decoder.finish()
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _, decoder = _worker(f"{path}|{pattern}", shared.value, pattern)
         for batch in small_batches(batches, "ids"):
             out, valid = [], []
             for packed in batch.column("ids").to_pylist():
-                out.append(b"".join(pieces(decoder, np.frombuffer(packed or b"", dtype="<u4"))))
+                out.append(b"".join(pieces(decoder, np.frombuffer(packed or b"", dtype="<u4"), chunk)))
                 valid.append(decoder.valid)
             yield pa.record_batch({"doc_id": batch.column("doc_id"), "ids": batch.column("ids"), "decoded": pa.array(out, pa.binary()), "valid": pa.array(valid)})
 
@@ -343,9 +372,33 @@ def decode(encoded: DataFrame, path: str, pattern: str, chunk: int = 1 << 16) ->
 
 
 def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Encoded and decoded again, with the digests of both sides."""
-    both = decode(encode(docs, path, pattern, id_col, text_col), path, pattern)
-    return both.select(
-        "doc_id", F.expr("cast(octet_length(ids) div 4 as bigint)").alias("n_tokens"),
-        F.sha2(F.coalesce("ids", F.lit(b"")), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
-    )
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256): encoded and decoded again, with the digests of both sides.
+
+    Both ways run in one pass, so ids never leave the worker; rules for nulls,
+    empty texts and keys are those of ``encode``.
+    """
+    ranks = load_ranks(path)
+    shared = docs.sparkSession.sparkContext.broadcast(ranks)
+    rows = key_and_text(docs, id_col, text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, decoder = _worker(f"{path}|{pattern}", shared.value, pattern)
+        for batch in small_batches(batches):
+            sizes, digests, decoded = [], [], []
+            for text in pc.fill_null(batch.column("text"), "").to_pylist():
+                packed = encoder.encode(text)
+                sizes.append(len(packed) // 4)
+                digests.append(hashlib.sha256(packed).hexdigest())
+                both = hashlib.sha256()
+                for part in pieces(decoder, np.frombuffer(packed, dtype="<u4"), 1 << 16):
+                    both.update(part)
+                decoded.append(both.hexdigest())
+            yield pa.record_batch(
+                {
+                    "doc_id": batch.column("doc_id"), "n_tokens": pa.array(sizes, pa.int64()),
+                    "ids_sha256": pa.array(digests, pa.string()), "decoded_sha256": pa.array(decoded, pa.string()),
+                }
+            )
+
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    return rows.mapInArrow(run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
