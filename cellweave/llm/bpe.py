@@ -223,13 +223,17 @@ class Encoder(dict):
         return b"".join(map(self.__getitem__, [first, *map(" ".__add__, rest)]))
 
 
+#: No character is open.
+_READY = (0, 0, 0)
+
+
 def utf8_step(state: tuple[int, int, int], byte: int) -> tuple[int, int, int] | None:
     """One step of the UTF-8 state machine: (bytes still due, least, largest next byte); None is an error."""
     due, low, high = state
     if due:
-        return (due - 1, 0x80, 0xBF) if low <= byte <= high else None
+        return None if not low <= byte <= high else (due - 1, 0x80, 0xBF) if due > 1 else _READY
     if byte < 0x80:
-        return (0, 0, 0)
+        return _READY
     if 0xC2 <= byte <= 0xDF:
         return (1, 0x80, 0xBF)
     if 0xE0 <= byte <= 0xEF:
@@ -239,9 +243,6 @@ def utf8_step(state: tuple[int, int, int], byte: int) -> tuple[int, int, int] |
     return None
 
 
-_READY = (0, 0, 0)
-
-
 def _run(state: tuple | None, data: bytes) -> tuple | None:
     """The state after ``data``; None is an error."""
     for byte in data:

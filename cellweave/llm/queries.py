@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellweave.llm import bpe, ctw, merkle, pseudonyms, quality, sharding, simhash, suffixes, toxicity, winnow
+from cellweave.llm import bpe, ctw, divergence, merkle, pseudonyms, quality, sharding, simhash, spelling, suffixes, token_files, toxicity, winnow
 from cellweave.llm.common import crc_fold, read
 from cellweave.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 
@@ -123,4 +123,49 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "text", F.size(F.filter("pii", lambda p: p["value"] != p["pseudonym"])).cast("long").alias("n_changed"), "pii")
 
 
+@query(
+    "op11_divergence",
+    """
+    WITH d AS (SELECT row_number() OVER () AS doc, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                      regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\\x{80}-\\x{10FFFF}]+') AS w
+               FROM documents),
+    groups AS (SELECT DISTINCT lang, source FROM d),
+    t AS (SELECT doc, lang, source, unnest(w) AS term FROM d),
+    keep AS (SELECT lang, term FROM t GROUP BY lang, term HAVING count(DISTINCT doc) >= 30),
+    sizes AS (SELECT lang, count(*) AS v FROM keep GROUP BY lang),
+    c AS (SELECT lang, source, term, count(*) AS n FROM t JOIN keep USING (lang, term) GROUP BY ALL),
+    grid AS (SELECT lang, source, term, coalesce(n, 0) AS n FROM groups JOIN keep USING (lang) LEFT JOIN c USING (lang, source, term)),
+    p AS (SELECT *, 1 + (1000000000 * CAST(n + 5 AS HUGEINT)) // (sum(n) OVER (PARTITION BY lang, source) + 5 * v) AS p FROM grid JOIN sizes USING (lang)),
+    q AS (SELECT lang, term, 1 + (1000000000 * CAST(n + 5 AS HUGEINT)) // (sum(n) OVER (PARTITION BY lang) + 5 * v) AS q
+          FROM (SELECT lang, term, v, sum(n) AS n FROM p GROUP BY ALL)),
+    pair AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(sum(abs(a.p - b.p)) AS BIGINT) AS value
+             FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+    pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+              FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN pair ON pair.lang = a.lang AND pair.source = a.source AND pair.item = b.source),
+    terms AS (SELECT lang, source, 'term' AS part, term AS item, CAST(p - q AS BIGINT) AS value FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q),
+    ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+               FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms))
+    SELECT * FROM ranked WHERE part = 'pair' OR rank <= 50
+    """,
+)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distances of the sources of each language, and the terms that set each apart."""
+    return divergence.divergence(read(spark, sf_dir, "documents"))
+
+
+@query("op12_token_files")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every text, written to shards and read back by key."""
+    docs = read(spark, sf_dir, "documents")
+    files = token_files.write(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    found = token_files.read(files, docs)
+    return found.select("doc_id", "start", F.expr("cast(octet_length(ids) div 4 as bigint)").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
+
+
+@query("op13_spelling")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words one edit apart, and the form each of them is a variant of."""
+    return spelling.variants(read(spark, sf_dir, "documents")).select("word", "form", "root", "n", "n_near", "form_n")
+
+
 query("pipeline")(corpus_pipeline.run)

@@ -57,6 +57,28 @@ def test_bpe_equals_the_library_and_round_trips(docs):
         assert bytes(r.decoded) == text.encode() and r.valid
 
 
+def test_bpe_texts_cut_before_blanks_split_as_a_whole():
+    ranks = bpe.load_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    whole = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    encoder, rng = bpe.Encoder(ranks, public_tokenizers.PATTERN), np.random.default_rng(3)
+    assert encoder.cut
+    for _ in range(3000):
+        text = "".join(rng.choice([" ", " ", "\n", "\t", "\xa0", "\x1c", "ab", "1", "'s", "é", "!", "日", "\u3000"], rng.integers(0, 12)))
+        assert np.frombuffer(encoder.encode(text), "<u4").tolist() == whole.encode_ordinary(text), repr(text)
+
+
+def test_bpe_decoder_states():
+    ranks = {bytes([b]): b for b in range(256)} | {"é".encode(): 256, b"\x97\xa5 ": 257}
+    feed = lambda decoder, *ids: decoder.feed(np.array(ids, dtype="<u4"))
+    decoder = bpe.Decoder(ranks)
+    assert feed(decoder, 0xE6) == b"" and feed(decoder) == b"" and feed(decoder, 257, 256) == "日 é".replace("日", "\u65e5").encode()
+    assert feed(decoder, 65, 0xE6, 0x97) == b"A" and decoder.finish() == b"\xe6\x97" and not decoder.valid
+    decoder.reset()
+    assert feed(decoder, 0xE6, 65, 66) == b"\xe6AB" and not decoder.valid
+    decoder.reset()
+    assert feed(decoder, 256) == "é".encode() and decoder.finish() == b"" and decoder.valid
+
+
 def test_repeated_spans_match_brute_force(docs):
     texts = {i: (t or "").encode() for i, t in enumerate(TEXTS)} | {None: LONG.encode()}
     starts = {}
