@@ -25,7 +25,9 @@ files that nothing refers to.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -56,15 +58,53 @@ _LEVELS = 64
 class Encoder(dict):
     """Parts between blanks to their ids in the tokenizer's own bytes, memorised.
 
-    The tokenizer drops white space and joins nothing across it, so parts are encoded by themselves.
+    The tokenizer drops white space and joins nothing across it, so parts are
+    encoded by themselves; new ones go to it as one text, with a mark between
+    them that it encodes as one id.
     """
 
-    def __init__(self, tokenizer: str, width: str, most: int = 500_000) -> None:
+    _MARK = b"\x01"
+    #: A normaliser that only lower-cases printable ASCII, and the pieces it is split into next.
+    _LOWER = {
+        "type": "Sequence",
+        "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}],
+    }
+    _SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+    _ASCII = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[!-/:-@\[-`{-~]+").findall
+    _PRINTABLE = re.compile(rb"[!-~]+").fullmatch
+
+    def __init__(self, tokenizer: str, width: str, most: int = 800_000) -> None:
         super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks share the cores already
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.width, self.most = Tokenizer.from_str(tokenizer), width, most
+        self.tokenizer, self.width, self.most = Tokenizer.from_str(tokenizer), np.dtype(width), most
+        rules = json.loads(tokenizer)
+        steps = (rules["pre_tokenizer"] or {}).get("pretokenizers", [])
+        self.plain = rules["normalizer"] == self._LOWER and [s["type"] for s in steps] == ["Split", "ByteLevel"]
+        self.plain = self.plain and steps[0]["pattern"] == {"Regex": self._SPLIT}
+        self.pieces: dict[str, bytes] = {}
+        self.mark = self._ids([self._MARK])[0]
+        self.special = re.compile(b"|".join(re.escape(t.content.encode()) for t in self.tokenizer.get_added_tokens_decoder().values()) or b"(?!)")
+
+    def _ids(self, texts: list[bytes]) -> list[np.ndarray]:
+        found = self.tokenizer.encode_batch_fast([t.decode("utf-8") for t in texts], add_special_tokens=False)
+        return [np.array(e.ids, dtype=self.width) for e in found]
+
+    def _each(self, parts: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
+        """The packed ids of each part."""
+        if len(self.mark) != 1:
+            yield from zip(parts, map(bytes, self._ids(parts)))
+            return
+        for at in range(0, len(parts), 4096):
+            some = parts[at : at + 4096]
+            ids = self._ids([b" %b " % self._MARK.join([b" ", *(b" %b " % p for p in some)])])[0]
+            cuts = np.flatnonzero(ids == self.mark[0])
+            if len(cuts) != len(some):
+                raise ValueError("the tokenizer uses the id of the mark for other text")
+            size, packed = self.width.itemsize, ids.tobytes()
+            ends = [*(size * cuts[1:]).tolist(), len(packed)]
+            yield from zip(some, (packed[a:b] for a, b in zip((size * (cuts + 1)).tolist(), ends)))
 
     def learn(self, parts: set[bytes]) -> None:
         """Encode the parts that are not known yet."""
@@ -72,15 +112,35 @@ class Encoder(dict):
         if len(self) + len(fresh) > self.most:
             self.clear()
             fresh = list(parts)
-        for at in range(0, len(fresh), 4096):
-            some = fresh[at : at + 4096]
-            for part, found in zip(some, self.tokenizer.encode_batch_fast([p.decode("utf-8") for p in some], add_special_tokens=False)):
-                self[part] = np.array(found.ids, dtype=self.width).tobytes()
+        if self.plain:
+            ascii_, lowered = [], []
+            for p in filter(self._PRINTABLE, fresh):
+                low = p.lower()
+                if not self.special.search(low):
+                    ascii_.append(p)
+                    lowered.append(low.decode("ascii"))
+            self.update((p, b"".join(map(self._piece, self._ASCII(low)))) for p, low in zip(ascii_, lowered))
+            fresh = [p for p in fresh if p not in self]
+        odd = [p for p in fresh if self._MARK in p]
+        self.update(zip(odd, map(bytes, self._ids(odd))))
+        self.update(self._each([p for p in fresh if p not in self]))
+
+    def _piece(self, piece: str) -> bytes:
+        """The ids of one lower-case ASCII piece, by the tokenizer's merges alone."""
+        packed = self.pieces.get(piece)
+        if packed is None:
+            if len(self.pieces) >= self.most:
+                self.pieces.clear()
+            packed = self.pieces[piece] = np.array([t.id for t in self.tokenizer.model.tokenize(piece)], dtype=self.width).tobytes()
+        return packed
 
     def encode(self, texts: list[bytes], end: bytes) -> list[bytes]:
         split = [t.split() for t in texts]
-        self.learn({p for parts in split for p in parts})
-        return [b"".join(map(self.__getitem__, parts)) + end for parts in split]
+        parts: set[bytes] = set()
+        for some in split:
+            parts.update(some)
+        self.learn(parts)
+        return [b"".join(map(self.__getitem__, some)) + end for some in split]
 
 
 _WORKER: dict[tuple, Encoder] = {}

@@ -49,6 +49,13 @@ def test_absent_keys_and_empty_tables(spark, docs):
     assert token_files.read(files, asked.filter("false"), "k").count() == 0
 
 
+def test_parts_with_the_mark_and_a_full_memory():
+    encoder = token_files.Encoder(open(PATH, encoding="utf-8").read(), "<u2", most=3)
+    tokenizer = Tokenizer.from_file(PATH)
+    for text in ["a\x01b c \x01 \x01\x01 d", "one two three four", "one five", "\x01", "<|ENDOFTEXT|> <|endoftext|>x J\u030c ÉA É \u0301"]:
+        assert np.frombuffer(encoder.encode([text.encode()], b"")[0], "<u2").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
 def test_perfect_hash_is_one():
     rng = np.random.default_rng(2)
     h, k = rng.integers(0, 1 << 63, (2, 20_000), dtype=np.uint64)
