@@ -361,7 +361,7 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
         return out
 
     def summed(values: np.ndarray, doc: np.ndarray, size: int) -> np.ndarray:
-        return np.bincount(doc, values, size)
+        return np.bincount(doc, values, size).astype(float)  # of nothing it counts integers
 
     def finish(block: int, table: pa.Table, answers: list | None) -> Iterator[pa.RecordBatch]:
         texts = Texts(table, depth)
