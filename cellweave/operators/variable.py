@@ -2,15 +2,22 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from cellweave.operators.ordering import number_rows
 from cellweave.operators.qc import n_rows
 from cellweave.session import write_stage
 
-# Fixed value: number of mean-expression bins.
+# Number of mean-expression bins, and the share of the genes that a local fit looks at.
 BINS = 20
+SPAN = 0.3
+
+# Places at which a local regression is fitted.
+ANCHORS = 128
 
 
 def _dispersions(moments: DataFrame, by: list[str]) -> DataFrame:
@@ -96,12 +103,60 @@ def dispersion_genes_by_batch(log_x: DataFrame, obs: DataFrame, batch: str, n_to
     return merged.orderBy(F.desc("n_batches"), F.desc_nulls_last(F.round("mean_dispersion_norm", 8)), "gene").limit(n_top)
 
 
+def local_fit(points: DataFrame, span: float = SPAN, anchors: int = ANCHORS) -> DataFrame:
+    """``points`` (gene, x, y) with ``fit``, a local quadratic regression of y on x.
+
+    At each of ``anchors`` genes, spread evenly by rank of x, a parabola is fitted
+    to the nearest ``span`` of all genes with tricube weights; in between, the
+    cubic that meets the values and slopes of both anchors is taken.  Where a
+    neighbourhood has too few different x a line, or the mean, takes its place.  An
+    anchor only meets the genes that are near it by rank, so the work is
+    ``anchors`` x ``span`` x genes rows.
+    """
+    ranked = write_stage(number_rows(points, [], "x", ["gene"], "r").select("gene", "x", "y", "r"), "ranked")
+    n = ranked.count()
+    if not n:
+        return points.withColumn("fit", F.lit(None).cast("double"))
+    near = max(1, min(n, math.floor(span * n + 1e-9)))
+    places = F.array_distinct(F.transform(F.sequence(F.lit(0), F.lit(anchors - 1)), lambda i: F.lit(1) + F.floor(i * (n - 1) / (anchors - 1))))
+    chosen = ranked.sparkSession.range(1).select(F.explode(places).alias("r"))
+    at = ranked.join(chosen, "r").groupBy("x").agg(F.min("r").alias("r")).select(F.col("x").alias("c"), (F.col("r") - near).alias("low"), (F.col("r") + near).alias("high"))
+    met = ranked.join(F.broadcast(at), (F.col("r") > F.col("low")) & (F.col("r") < F.col("high"))).select("c", (F.col("x") - F.col("c")).alias("u"), "y")
+    far = F.row_number().over(W.partitionBy("c").orderBy(F.abs("u"), "y"))
+    kept = met.withColumn("_n", far).where(F.col("_n") <= near).withColumn("h", F.max(F.abs("u")).over(W.partitionBy("c")))
+    t = F.abs("u") / F.col("h")
+    weight = F.when(F.col("h") == 0, 1.0).otherwise(F.pow(1 - t * t * t, F.lit(3.0)))
+    u, y, w = F.col("u"), F.col("y"), F.col("w")
+    powers = kept.withColumn("w", weight).groupBy("c").agg(
+        F.sum(w).alias("s0"), F.sum(w * u).alias("s1"), F.sum(w * u * u).alias("s2"), F.sum(w * u * u * u).alias("s3"),
+        F.sum(w * u * u * u * u).alias("s4"), F.sum(w * y).alias("t0"), F.sum(w * u * y).alias("t1"), F.sum(w * u * u * y).alias("t2"),
+    )
+    s0, s1, s2, s3, s4, t0, t1, t2 = (F.col(c) for c in ("s0", "s1", "s2", "s3", "s4", "t0", "t1", "t2"))
+    square = s0 * (s2 * s4 - s3 * s3) - s1 * (s1 * s4 - s3 * s2) + s2 * (s1 * s3 - s2 * s2)
+    line = s0 * s2 - s1 * s1
+    curved, sloped = F.abs(square) > 1e-12 * s0 * s2 * s4, F.abs(line) > 1e-12 * s0 * s2
+    value = F.when(curved, (t0 * (s2 * s4 - s3 * s3) - s1 * (t1 * s4 - s3 * t2) + s2 * (t1 * s3 - s2 * t2)) / square)
+    slope = F.when(curved, (s0 * (t1 * s4 - s3 * t2) - t0 * (s1 * s4 - s3 * s2) + s2 * (s1 * t2 - t1 * s2)) / square)
+    value, slope = value.when(sloped, (t0 * s2 - s1 * t1) / line).otherwise(t0 / s0), slope.when(sloped, (s0 * t1 - s1 * t0) / line).otherwise(0.0)
+    after = W.orderBy("c")  # one row per anchor
+    fitted = powers.select("c", value.alias("v"), slope.alias("g"))
+    knots = fitted.select("c", "v", "g", *(F.lead(k).over(after).alias(f"{k}1") for k in ("c", "v", "g")))
+    joined = ranked.join(F.broadcast(knots), (F.col("x") >= F.col("c")) & (F.col("x") < F.coalesce("c1", F.lit(math.inf))))
+    step = F.col("c1") - F.col("c")
+    p = (F.col("x") - F.col("c")) / step
+    inside = (
+        (1 + 2 * p) * (1 - p) * (1 - p) * F.col("v") + p * (1 - p) * (1 - p) * step * F.col("g")
+        + p * p * (3 - 2 * p) * F.col("v1") - p * p * (1 - p) * step * F.col("g1")
+    )
+    return joined.select("gene", "x", "y", F.when(F.col("c1").isNull(), F.col("v")).otherwise(inside).alias("fit"))
+
+
 def standardized_variance(x: DataFrame, obs: DataFrame) -> DataFrame:
     """Variance of standardised, clipped counts per gene.
 
-    The expected variance is a quadratic fit of log10 variance on log10 mean
-    over all genes that vary (least squares on centred means), and values are
-    clipped at mean + expected sd x sqrt(N).
+    The expected variance is a local regression of log10 variance on log10 mean
+    over all genes that vary, and values are clipped at mean + expected sd x
+    sqrt(N).
     """
     n = n_rows(obs)
     sums = x.groupBy("gene").agg(F.sum("value").alias("_s1"), F.sum(F.col("value") * F.col("value")).alias("_s2"))
@@ -109,20 +164,10 @@ def standardized_variance(x: DataFrame, obs: DataFrame) -> DataFrame:
     stats = sums.withColumn("mean", F.col("_s1") / n).withColumn(
         "variance", (F.col("_s2") - n * F.col("mean") * F.col("mean")) / (n - 1)
     )
-    logs = stats.where("variance > 0 AND mean > 0").select(
-        "gene", "mean", "variance", F.log10("mean").alias("lx"), F.log10("variance").alias("ly")
-    )
-    centred = one_side(logs, logs.agg(F.avg("lx").alias("_c"))).withColumn("u", F.col("lx") - F.col("_c"))
-    u, y = F.col("u"), F.col("ly")
-    powers = centred.agg(
-        F.count("*").alias("s0"), F.sum(u).alias("s1"), F.sum(u * u).alias("s2"), F.sum(u * u * u).alias("s3"),
-        F.sum(u * u * u * u).alias("s4"), F.sum(y).alias("t0"), F.sum(u * y).alias("t1"), F.sum(u * u * y).alias("t2"),
-    )
-    fitted = one_side(centred, powers.select(*_quadratic()))
-    expected = fitted.withColumn(
-        "reg_sd", F.sqrt(F.pow(F.lit(10.0), F.col("_a0") + F.col("_a1") * u + F.col("_a2") * u * u))
-    ).select("gene", "mean", "variance", "reg_sd", (F.col("mean") + F.col("reg_sd") * F.sqrt(n)).alias("_cap"))
-    expected = write_stage(expected, "expected")
+    varied = write_stage(stats.where("variance > 0 AND mean > 0").select("gene", "mean", "variance"), "varied")
+    fitted = local_fit(varied.select("gene", F.log10("mean").alias("x"), F.log10("variance").alias("y")))
+    expected = varied.join(fitted.select("gene", F.sqrt(F.pow(F.lit(10.0), "fit")).alias("reg_sd")), "gene")
+    expected = write_stage(expected.withColumn("_cap", F.col("mean") + F.col("reg_sd") * F.sqrt(n)), "expected")
     capped = F.least("value", "_cap")
     sums2 = x.join(expected.select("gene", "_cap"), "gene").groupBy("gene").agg(
         F.sum(capped).alias("_k1"), F.sum(capped * capped).alias("_k2")
@@ -134,26 +179,6 @@ def standardized_variance(x: DataFrame, obs: DataFrame) -> DataFrame:
     )
 
 
-def _quadratic() -> list:
-    """Coefficients of the least-squares parabola from the power sums, by Cramer's rule."""
-    s = [F.col(f"s{i}").cast("double") for i in range(5)]
-    t = [F.col(f"t{i}") for i in range(3)]
-
-    def det(a, b, c):
-        return (
-            a[0] * (b[1] * c[2] - b[2] * c[1]) - a[1] * (b[0] * c[2] - b[2] * c[0]) + a[2] * (b[0] * c[1] - b[1] * c[0])
-        )
-
-    rows = [[s[0], s[1], s[2]], [s[1], s[2], s[3]], [s[2], s[3], s[4]]]
-    whole = det(*rows)
-
-    def solved(k):
-        swapped = [[t[i] if j == k else rows[i][j] for j in range(3)] for i in range(3)]
-        return F.coalesce(F.try_divide(det(*swapped), whole), F.lit(0.0)).alias(f"_a{k}")
-
-    return [solved(0), solved(1), solved(2)]
-
-
 def variance_genes(x: DataFrame, obs: DataFrame, n_top: int) -> DataFrame:
     """The ``n_top`` genes of largest standardised variance."""
     return standardized_variance(x, obs).orderBy(F.desc(F.round("variance_norm", 8)), "gene").limit(n_top)

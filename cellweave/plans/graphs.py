@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cellweave.operators import embed, neighbours, niches, normalize, qc, variable
+from cellweave.operators import delaunay, embed, neighbours, niches, normalize, qc, variable
 from cellweave.plans import views as v
 from cellweave.plans.registry import query
 from cellweave.session import write_stage
@@ -38,6 +38,22 @@ def spatial_gabriel(spark, sf):
     return neighbours.spatial_gabriel(v.plane(spark, sf)).withColumn("distance", F.round("distance", 8))
 
 
+@query(
+    "spatial_delaunay",
+    """SELECT library, src, dst, round(distance, 8) AS distance FROM
+    (SELECT a.library, a.cell_id AS src, b.cell_id AS dst, MAX(sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y))) AS distance,
+     COALESCE(MAX(CASE WHEN w < 0 THEN d / w END), '-inf'::DOUBLE) AS low, COALESCE(MIN(CASE WHEN w > 0 THEN d / w END), 'inf'::DOUBLE) AS high,
+     COALESCE(bool_or(w = 0 AND d < 0), FALSE) AS blocked
+     FROM sites a JOIN sites b ON a.library = b.library AND a.cell_id < b.cell_id LEFT JOIN sites c
+     ON c.library = a.library AND c.cell_id <> a.cell_id AND c.cell_id <> b.cell_id,
+     LATERAL (SELECT (a.x - c.x) * (b.x - c.x) + (a.y - c.y) * (b.y - c.y) AS d, (b.x - a.x) * (c.y - a.y) - (b.y - a.y) * (c.x - a.x) AS w)
+     GROUP BY 1, 2, 3) WHERE NOT blocked AND (low <= high OR low - high <= 1e-9 * (1 + abs(low) + abs(high)))""",
+    "sites",
+)
+def spatial_delaunay(spark, sf):
+    return delaunay.spatial_delaunay(v.plane(spark, sf)).withColumn("distance", F.round("distance", 8))
+
+
 @query(
     "knn_features",
     """SELECT src, dst, round(distance, 6) AS distance, rank FROM (SELECT a.cell_id AS src, b.cell_id AS dst,
@@ -188,21 +204,19 @@ def modality_label_compare(spark, sf):
 
 @query(
     "gram_matrix",
-    """SELECT i.gene AS gene_i, j.gene AS gene_j, COALESCE(s, 0.0) AS xtx, round((COALESCE(s, 0) - si * sj / n) / (n - 1), 8) + 0.0 AS covariance FROM
-    (SELECT gene, SUM(value) AS si FROM x JOIN var USING (gene) WHERE size = 50 GROUP BY 1) i JOIN
-    (SELECT gene, SUM(value) AS sj FROM x JOIN var USING (gene) WHERE size = 50 GROUP BY 1) j ON i.gene <= j.gene
-    LEFT JOIN (SELECT a.gene AS ga, b.gene AS gb, SUM(a.value * b.value) AS s FROM x a JOIN x b ON a.cell_id = b.cell_id AND a.gene <= b.gene
-     WHERE a.gene IN (SELECT gene FROM var WHERE size = 50) AND b.gene IN (SELECT gene FROM var WHERE size = 50) GROUP BY 1, 2)
-    ON ga = i.gene AND gb = j.gene, (SELECT COUNT(*) AS n FROM obs)""",
-    "x var obs",
+    """SELECT a.gene AS gene_i, b.gene AS gene_j, SUM(a.value * b.value) AS xtx,
+    round((SUM(a.value * b.value) - MAX(si.s) * MAX(sj.s) / MAX(n)) / (MAX(n) - 1), 8) + 0.0 AS covariance
+    FROM x a JOIN x b ON a.cell_id = b.cell_id AND a.gene <= b.gene
+    JOIN (SELECT gene, SUM(value) AS s FROM x GROUP BY 1) si ON si.gene = a.gene JOIN (SELECT gene, SUM(value) AS s FROM x GROUP BY 1) sj ON sj.gene = b.gene,
+    (SELECT COUNT(*) AS n FROM obs) WHERE a.value <> 0 AND b.value <> 0 GROUP BY 1, 2""",
+    "x obs",
 )
 def gram_matrix(spark, sf):
-    panel = v.features(spark, sf).where("size = 50")
-    out = embed.gram_pairs(v.counts(spark, sf), panel, v.cells(spark, sf))
+    out = embed.gram_pairs(v.counts(spark, sf), v.features(spark, sf), v.cells(spark, sf))
     return out.withColumn("covariance", F.round("covariance", 8) + 0.0)
 
 
-def _panel(spark, sf, n=100):
+def _panel(spark, sf, n=2000):
     """Highly variable panel on log-normalised counts."""
     log_x = normalize.lognorm(v.counts(spark, sf))
     chosen = variable.dispersion_genes(log_x, v.cells(spark, sf), v.features(spark, sf), n).where("highly_variable")
@@ -223,6 +237,35 @@ def svd_embed(spark, sf):
     return found.select("cell_id", *[F.col("components")[i].alias(f"svd{i + 1}") for i in range(len(values))])
 
 
+def _whole(found, column):
+    """What the components hold and what they leave out, per table."""
+    held = F.aggregate(column, F.lit(0.0), lambda total, c: total + c * c)
+    return found.agg(F.count("*").alias("n_cells"), F.sum(held + F.col("lost")).alias("total"))
+
+
+@query(
+    "pca_reconstruction",
+    """SELECT (SELECT COUNT(*) FROM obs) AS n_cells, round(SUM(q - s * s / n) / (MAX(n) - 1), 6) AS total_variance
+    FROM (SELECT gene, SUM(value) AS s, SUM(value * value) AS q FROM lognorm GROUP BY 1), (SELECT COUNT(*) AS n FROM obs)""",
+    "lognorm obs",
+)
+def pca_reconstruction(spark, sf):
+    """Components and residuals of all genes together hold the whole variance."""
+    found, _ = embed.pca(normalize.lognorm(v.counts(spark, sf)), v.cells(spark, sf), v.features(spark, sf), 30)
+    return _whole(found, "pcs").select("n_cells", F.round(F.col("total") / (F.col("n_cells") - 1), 6).alias("total_variance"))
+
+
+@query(
+    "svd_reconstruction",
+    "SELECT (SELECT COUNT(*) FROM obs) AS n_cells, round(SUM(value * value), 5) AS total_square FROM lognorm",
+    "lognorm obs",
+)
+def svd_reconstruction(spark, sf):
+    """Components and residuals of all genes together hold the whole square sum."""
+    found, _ = embed.svd(normalize.lognorm(v.counts(spark, sf)), v.cells(spark, sf), v.features(spark, sf), 20)
+    return _whole(found, "components").select("n_cells", F.round("total", 5).alias("total_square"))
+
+
 @query("kmeans_clusters")
 def kmeans_clusters(spark, sf):
     return embed.kmeans(embed.pca_vectors(v.representation(spark, sf), 20).select("cell_id", "features"))

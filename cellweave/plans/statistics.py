@@ -162,25 +162,33 @@ def hvg_dispersion_batched(spark, sf):
 
 
 v.add_sql_view(
-    "fit",
-    """SELECT gene, mean, var, u, ly FROM (SELECT *, lx - AVG(lx) OVER () AS u FROM (SELECT gene, m AS mean, var, log10(m) AS lx,
-    log10(var) AS ly FROM (SELECT gene, s1 / n AS m, (s2 - n * (s1 / n) * (s1 / n)) / (n - 1) AS var FROM
-    (SELECT gene, SUM(value) AS s1, SUM(value * value) AS s2, (SELECT COUNT(*) FROM obs) AS n FROM x GROUP BY 1)) WHERE var > 0 AND m > 0))""",
+    "logs",
+    """SELECT *, row_number() OVER (ORDER BY lx, gene) AS r, COUNT(*) OVER () AS g, greatest(1, CAST(floor(0.3 * COUNT(*) OVER () + 1e-9) AS BIGINT)) AS q FROM
+    (SELECT gene, m AS mean, var, log10(m) AS lx, log10(var) AS ly FROM (SELECT gene, s1 / n AS m, (s2 - n * (s1 / n) * (s1 / n)) / (n - 1) AS var FROM
+    (SELECT gene, SUM(value) AS s1, SUM(value * value) AS s2, (SELECT COUNT(*) FROM obs) AS n FROM x GROUP BY 1)) WHERE var > 0 AND m > 0)""",
     "x obs",
 )
 v.add_sql_view(
-    "powers",
-    """SELECT COUNT(*)::DOUBLE AS s0, SUM(u) AS s1, SUM(u*u) AS s2, SUM(u*u*u) AS s3, SUM(u*u*u*u) AS s4, SUM(ly) AS t0,
-    SUM(u*ly) AS t1, SUM(u*u*ly) AS t2 FROM fit""",
-    "fit",
+    "moments",
+    """SELECT c, SUM(w) AS s0, SUM(w * u) AS s1, SUM(w * u * u) AS s2, SUM(w * u * u * u) AS s3, SUM(w * u * u * u * u) AS s4,
+    SUM(w * ly) AS t0, SUM(w * u * ly) AS t1, SUM(w * u * u * ly) AS t2 FROM
+    (SELECT c, u, ly, CASE WHEN h = 0 THEN 1 ELSE pow(1 - pow(abs(u) / h, 3), 3) END AS w FROM (SELECT *, MAX(abs(u)) OVER (PARTITION BY c) AS h FROM
+      (SELECT c, lx - c AS u, ly FROM (SELECT DISTINCT lx AS c FROM logs WHERE r IN (SELECT 1 + (i * (g - 1)) // 127 FROM logs, range(128) t(i))), logs
+       QUALIFY row_number() OVER (PARTITION BY c ORDER BY abs(lx - c), ly) <= q))) GROUP BY 1""",
+    "logs",
 )
 v.add_sql_view(
-    "coef",
-    """SELECT (t0*(s2*s4-s3*s3) - s1*(t1*s4-s3*t2) + s2*(t1*s3-s2*t2)) / d AS a0,
-    (s0*(t1*s4-s3*t2) - t0*(s1*s4-s3*s2) + s2*(s1*t2-t1*s2)) / d AS a1,
-    (s0*(s2*t2-t1*s3) - s1*(s1*t2-t1*s2) + t0*(s1*s3-s2*s2)) / d AS a2
-    FROM (SELECT *, s0*(s2*s4-s3*s3) - s1*(s1*s4-s3*s2) + s2*(s1*s3-s2*s2) AS d FROM powers)""",
-    "powers",
+    "knots",
+    """SELECT *, lead(c) OVER o AS c1, lead(f) OVER o AS f1, lead(d) OVER o AS d1 FROM
+    (SELECT c, (t0*(s2*s4-s3*s3) - s1*(t1*s4-s3*t2) + s2*(t1*s3-s2*t2)) / det AS f, (s0*(t1*s4-s3*t2) - t0*(s1*s4-s3*s2) + s2*(s1*t2-t1*s2)) / det AS d
+     FROM (SELECT *, s0*(s2*s4-s3*s3) - s1*(s1*s4-s3*s2) + s2*(s1*s3-s2*s2) AS det FROM moments)) WINDOW o AS (ORDER BY c)""",
+    "moments",
+)
+v.add_sql_view(
+    "expected",
+    """SELECT gene, mean, var, sqrt(pow(10, CASE WHEN c1 IS NULL THEN f ELSE (1 + 2*p)*(1-p)*(1-p)*f + p*(1-p)*(1-p)*(c1-c)*d + p*p*(3-2*p)*f1 - p*p*(1-p)*(c1-c)*d1 END)) AS sd
+    FROM (SELECT logs.*, knots.*, (lx - c) / (c1 - c) AS p FROM logs JOIN knots ON lx >= c AND (c1 IS NULL OR lx < c1))""",
+    "logs knots",
 )
 
 
@@ -188,11 +196,10 @@ v.add_sql_view(
     "hvg_vst",
     """SELECT gene, round(mean, 6) AS mean, round(var, 6) AS variance, round(vn, 4) AS variance_norm FROM
     (SELECT e.gene, e.mean, e.var, (n * e.mean * e.mean + SUM(least(value, cap) * least(value, cap)) - 2 * e.mean * SUM(least(value, cap)))
-      / ((n - 1) * sd * sd) AS vn FROM (SELECT fit.*, n, sqrt(pow(10, a0 + a1*u + a2*u*u)) AS sd,
-       mean + sqrt(pow(10, a0 + a1*u + a2*u*u)) * sqrt(n) AS cap FROM fit, coef, (SELECT COUNT(*) AS n FROM obs)) e
+      / ((n - 1) * sd * sd) AS vn FROM (SELECT *, mean + sd * sqrt(n) AS cap FROM expected, (SELECT COUNT(*) AS n FROM obs)) e
      JOIN x ON x.gene = e.gene GROUP BY e.gene, e.mean, e.var, n, sd)
     ORDER BY round(vn, 8) DESC, gene LIMIT 200""",
-    "fit coef obs x",
+    "expected obs x",
 )
 def hvg_vst(spark, sf):
     out = variable.variance_genes(v.counts(spark, sf), v.cells(spark, sf), 200)
