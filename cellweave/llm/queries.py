@@ -119,8 +119,12 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_pseudonyms")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts with pseudonyms for personal data, and how many values were changed."""
-    found = pseudonyms.pseudonymize(read(spark, sf_dir, "documents").select("doc_id", "text"))
-    return found.select("doc_id", "text", F.size(F.filter("pii", lambda p: p["value"] != p["pseudonym"])).cast("long").alias("n_changed"), "pii")
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pseudonyms.pseudonymize(docs, pseudonyms.session_key(spark))
+    changed = F.size(F.filter("pii", lambda p: p["value"] != p["pseudonym"])).cast("long")
+    shown = F.transform("pii", lambda p: F.struct(p["kind"].alias("kind"), p["pseudonym"].alias("pseudonym"), (p["value"] != p["pseudonym"]).alias("changed")))
+    # values that failed validation stay in the text; of the others only the pseudonym leaves
+    return found.select("doc_id", "text", changed.alias("n_changed"), F.filter(shown, lambda p: p["changed"]).alias("pii"))
 
 
 @query(

@@ -123,7 +123,7 @@ def test_shards_fit(docs):
 
 def test_pseudonyms_keep_format_and_link(spark):
     rows = [(1, "card 4111 1111 1111 1111 on 2024-02-29, ip 10.0.0.1, ssn 123-45-6789"), (2, "4111111111111111 / 29.02.2024"), (3, None), (4, ""), (5, "999.1.1.1 2024-02-30 4111111111111112")]
-    got = {r.doc_id: r for r in pseudonyms.pseudonymize(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    got = {r.doc_id: r for r in pseudonyms.pseudonymize(spark.createDataFrame(rows, "doc_id long, text string"), "a key").collect()}
     first, second = [p.pseudonym for p in got[1].pii], [p.pseudonym for p in got[2].pii]
     assert first[0].replace(" ", "") == second[0] != "4111111111111111"
     digits = [int(c) for c in second[0]][::-1]
@@ -132,6 +132,24 @@ def test_pseudonyms_keep_format_and_link(spark):
     assert got[3].text is None and got[4].text == "" and got[5].text == rows[4][1]
 
 
+def test_pseudonyms_permute_under_a_key(spark):
+    """Different values stay different, valid and of one format; another key gives other pseudonyms."""
+    import re
+
+    ips = [f"10.{i % 7}.{i % 250}.{i // 250}" for i in range(700)]
+    dates = [f"20{i % 30:02d}-0{1 + i % 9}-{1 + i % 28:02d}" for i in range(252)]
+    texts = spark.createDataFrame([(1, " ; ".join(dict.fromkeys([*ips, *dates, "ann@x.org", "bob@x.org", "555-123-4567"])))], "doc_id long, text string")
+    one, other = (pseudonyms.pseudonymize(texts, key).first().pii for key in ("first", "second"))
+    assert len({p.value for p in one}) == len({p.pseudonym for p in one}) == len(one) == len(set(ips)) + len(set(dates)) + 3
+    assert {p.kind for p in one} == {"ip", "date", "email", "phone"}
+    for p in one:
+        assert re.sub("[0-9]", "0", p.value) == re.sub("[0-9]", "0", p.pseudonym) or p.kind in ("ip", "email")
+        assert p.kind != "ip" or all(int(x) < 256 for x in p.pseudonym.split("."))
+    assert sum(a.pseudonym == b.pseudonym for a, b in zip(one, other)) < 0.05 * len(one)
+    spark.conf.unset(pseudonyms.KEY_SETTING)
+    assert pseudonyms.session_key(spark) == pseudonyms.session_key(spark) != "cellweave"
+
+
 def test_restoring_obfuscated_words():
     counts = np.zeros(28**3)
     for word in ("idiot", "stupid", "trash", "worthless", "the", "and"):
