@@ -18,6 +18,17 @@ def stack(parts: dict[str, DataFrame], label: str) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), labelled)
 
 
+def outer_columns(obs: DataFrame, label: str, layout: dict[str, list[str]]) -> DataFrame:
+    """``obs`` as the outer stack of its parts by ``label``, in one pass.
+
+    ``layout`` names the columns that each part has; they are null in all other
+    parts.  Rows of a part that is not named, or without a label, stay too.
+    """
+    columns = dict.fromkeys(c for names in layout.values() for c in names)
+    holders = {c: [part for part, names in layout.items() if c in names] for c in columns}
+    return obs.select("cell_id", label, *[F.when(F.col(label).isin(parts), F.col(c)).alias(c) for c, parts in holders.items()])
+
+
 def common_features(x: DataFrame, obs: DataFrame, sample: str, feature: str = "gene") -> DataFrame:
     """Features that occur in every sample of ``obs``."""
     pairs = x.select(sample, feature).distinct()

@@ -107,23 +107,24 @@ def extent(space: DataFrame, sample: str) -> DataFrame:
     )
 
 
-def matrix_flags(x: DataFrame, obs: DataFrame, sample: str) -> DataFrame:
-    """Per sample: cells, genes seen and whether all its values are integers."""
-    sizes = obs.groupBy(sample).agg(F.count("*").alias("n_cells"))
-    seen = (
-        x.join(obs.select("cell_id", sample), "cell_id")
-        .groupBy(sample, "gene")
-        .agg(F.max(F.abs(F.col("value") - F.round("value"))).alias("_gap"))
-        .groupBy(sample)
-        .agg(F.count("*").alias("n_genes"), F.max("_gap").alias("_gap"))
-    )
-    return (
-        sizes.join(seen, sample, "left")
-        .fillna({"n_genes": 0, "_gap": 0.0})
-        .withColumn("integer_like", F.col("_gap") <= 1e-6)
-        .drop("_gap")
-        .orderBy(sample)
+def matrix_flags(x: DataFrame, obs: DataFrame, sample: str, raw: DataFrame | None = None) -> DataFrame:
+    """Per sample: cells, genes seen, whether all values are integers, and the same of its raw layer.
+
+    ``raw`` holds the raw layers of those samples that have one, laid out like
+    ``x``; ``has_raw`` tells which do, and ``raw_integer_like`` is null for the others.
+    """
+    cells = obs.select("cell_id", sample)
+    gap = F.max(F.abs(F.col("value") - F.round("value"))).alias("_gap")
+    seen = x.join(cells, "cell_id").groupBy(sample, "gene").agg(gap).groupBy(sample).agg(F.count("*").alias("n_genes"), F.max("_gap").alias("_gap"))
+    out = obs.groupBy(sample).agg(F.count("*").alias("n_cells")).join(seen, sample, "left")
+    out = out.select(
+        sample, "n_cells", F.coalesce("n_genes", F.lit(0).cast("long")).alias("n_genes"), F.coalesce(F.col("_gap") <= 1e-6, F.lit(True)).alias("integer_like")
     )
+    if raw is None:
+        return out.select("*", F.lit(False).alias("has_raw"), F.lit(None).cast("boolean").alias("raw_integer_like")).orderBy(sample)
+    layers = raw.join(cells, "cell_id").groupBy(sample).agg(gap).select(sample, (F.col("_gap") <= 1e-6).alias("raw_integer_like"))
+    marked = out.join(layers.withColumn("has_raw", F.lit(True)), sample, "left")
+    return marked.select(*out.columns, F.coalesce("has_raw", F.lit(False)).alias("has_raw"), "raw_integer_like").orderBy(sample)
 
 
 def dataset_overview(x: DataFrame, obs: DataFrame, var: DataFrame, space: DataFrame, rep: DataFrame) -> DataFrame:

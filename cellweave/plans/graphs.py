@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cellweave.operators import delaunay, embed, neighbours, niches, normalize, qc, variable
+from cellweave.operators import communities, delaunay, embed, neighbours, niches, normalize, qc, variable
 from cellweave.plans import views as v
 from cellweave.plans.registry import query
 from cellweave.session import write_stage
@@ -129,7 +129,7 @@ def fuzzy_connectivities(spark, sf):
 @query("graph_communities")
 def graph_communities(spark, sf):
     weights = write_stage(niches.fuzzy_weights(_knn_edges(spark, sf)), "weights")
-    return niches.communities(weights, v.representation(spark, sf), (0.1, 0.5, 0.6, 0.7, 1.0))
+    return communities.multilevel(weights, v.representation(spark, sf), (0.1, 0.5, 0.6, 0.7, 1.0))
 
 
 v.add_sql_view(
@@ -163,6 +163,34 @@ def graph_modularity(spark, sf):
     return out.withColumn("modularity", F.round("modularity", 6) + 0.0)
 
 
+@query(
+    "communities_checked",
+    """SELECT resolution::DOUBLE AS resolution, n_cells, round(m, 6) AS total_weight, n_cells AS n_connected, TRUE AS beats_quadrants FROM
+    (SELECT unnest([0.5, 1.0]) AS resolution), (SELECT COUNT(*) AS n_cells FROM space), (SELECT SUM(w) AS m FROM ends)""",
+    "ends space",
+)
+def communities_checked(spark, sf):
+    """Communities of the spatial graph: every cell once, reached inside its community, better than labels by quadrant."""
+    space = v.plane(spark, sf)
+    knn = neighbours.spatial_knn(space, 6)
+    edges = knn.groupBy(F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst")).agg(F.max("distance").alias("distance"))
+    edges = write_stage(edges.select("src", "dst", (1 / (1 + F.col("distance"))).alias("weight")), "edges")
+    found = write_stage(communities.multilevel(edges, space, (0.5, 1.0)), "communities")
+    both = edges.unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "weight"))
+    links = write_stage(both.join(found.select("resolution").distinct()), "links")
+    state = found.select("resolution", F.col("cell_id").alias("src"), F.lit(1.0).alias("k"), "label", F.col("label").alias("part"))
+    reached = communities.connected_parts(links, state).groupBy("resolution").agg(F.count_if(F.col("label") == F.col("part")).alias("n_connected"))
+    quadrants = space.select("cell_id", (F.col("library") * 2 + F.when(F.col("x") > 0, 1).otherwise(0)).alias("label"))
+    plain = niches.modularity(edges, quadrants, (0.5, 1.0)).select("resolution", F.col("modularity").alias("plain"))
+    ours = [niches.modularity(edges, found.where(F.col("resolution") == r).select("cell_id", "label"), (r,)) for r in (0.5, 1.0)]
+    ours = ours[0].unionByName(ours[1]).select("resolution", "modularity")
+    sizes = found.groupBy("resolution").agg(F.count_distinct("cell_id").alias("n_cells"))
+    total = edges.select(F.round(F.sum("weight"), 6)).scalar()
+    return sizes.join(reached, "resolution").join(ours, "resolution").join(plain, "resolution").select(
+        "resolution", "n_cells", total.alias("total_weight"), "n_connected", (F.col("modularity") >= F.col("plain")).alias("beats_quadrants")
+    )
+
+
 v.add_sql_view(
     "two_labels",
     """SELECT cell_id, sample, n_genes_by_counts % 4 AS rna_label, CASE WHEN p > 300000 THEN 'high' WHEN p > 100000 THEN 'mid' ELSE 'low' END

@@ -269,14 +269,18 @@ def pct_aligned(spark, sf):
 
 @query(
     "sample_manifest",
-    """SELECT sample, n_cells, COALESCE(g, 0) AS n_genes, COALESCE(i, TRUE) AS integer_like FROM
+    """SELECT sample, n_cells, COALESCE(g, 0) AS n_genes, COALESCE(i, TRUE) AS integer_like, r IS NOT NULL AS has_raw, r AS raw_integer_like FROM
     (SELECT sample, COUNT(*) AS n_cells FROM obs GROUP BY 1) LEFT JOIN
     (SELECT sample, COUNT(DISTINCT gene) AS g, MAX(abs(value - round(value))) <= 1e-6 AS i
-     FROM x JOIN obs USING (cell_id) GROUP BY 1) USING (sample)""",
-    "x obs",
+     FROM x JOIN obs USING (cell_id) GROUP BY 1) USING (sample) LEFT JOIN
+    (SELECT sample, MAX(abs(value - round(value))) <= 1e-6 AS r FROM px JOIN obs USING (cell_id) WHERE sample < 'J' GROUP BY 1) USING (sample)""",
+    "x px obs",
 )
 def sample_manifest(spark, sf):
-    return summaries.matrix_flags(v.counts(spark, sf), v.cells(spark, sf), "sample")
+    """The intensities stand in for raw layers, which the samples before J have."""
+    obs = v.cells(spark, sf)
+    raw = v.intensity(spark, sf).join(obs.where("sample < 'J'").select("cell_id"), "cell_id", "left_semi")
+    return summaries.matrix_flags(v.counts(spark, sf), obs, "sample", raw)
 
 
 @query(

@@ -37,10 +37,8 @@ def concat_inner(spark, sf):
     "x obs",
 )
 def concat_outer_fill0(spark, sf):
-    obs = v.cells(spark, sf)
-    layout = {"F": "area", "O": "tissue", "P": "donor"}
-    parts = {stage: obs.where(F.col("stage") == stage).select("cell_id", extra) for stage, extra in layout.items()}
-    stacked = concat.stack(parts, "label")
+    obs = v.cells(spark, sf).withColumnRenamed("stage", "label")
+    stacked = concat.outer_columns(obs, "label", {"F": ["area"], "O": ["tissue"], "P": ["donor"]})
     return qc.cell_metrics(v.counts(spark, sf), stacked).drop("n_genes_by_counts")
 
 
