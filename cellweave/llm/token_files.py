@@ -29,6 +29,7 @@ import json
 import os
 import re
 import uuid
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -55,23 +56,46 @@ _GAMMA = 2.0
 _LEVELS = 64
 
 
+def byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in byte-level vocabularies: itself if it can be seen, else the next free one."""
+    seen = [*range(ord("!"), ord("~") + 1), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in seen]
+    return {b: chr(b) for b in seen} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
+class Pieces(dict):
+    """Lower-case pieces to packed ids, by the tokenizer's merges alone."""
+
+    _LETTER = byte_letters()
+
+    def __init__(self, tokenizer, width: str, most: int) -> None:
+        super().__init__()
+        self.split, self.kind, self.most = tokenizer.model.tokenize, np.dtype(width).char, most
+
+    def __missing__(self, piece: str) -> bytes:
+        if len(self) >= self.most:
+            self.clear()
+        packed = self[piece] = array(self.kind, [t.id for t in self.split("".join(map(self._LETTER.__getitem__, piece.encode("utf-8"))))]).tobytes()
+        return packed
+
+
 class Encoder(dict):
-    """Parts between blanks to their ids in the tokenizer's own bytes, memorised.
+    """Parts between blanks to packed ids, memorised.
 
     The tokenizer drops white space and joins nothing across it, so parts are
-    encoded by themselves; new ones go to it as one text, with a mark between
-    them that it encodes as one id.
+    encoded by themselves.  Where its rules say no more about printable ASCII and
+    the letters of Latin-1 than the fixed values below, such a part goes piece by
+    piece to the merges; every other part goes to the tokenizer whole.
     """
 
-    _MARK = b"\x01"
-    #: A normaliser that only lower-cases printable ASCII, and the pieces it is split into next.
+    #: A normaliser that only lower-cases those characters, and the pieces they are split into next.
     _LOWER = {
         "type": "Sequence",
         "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}],
     }
     _SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-    _ASCII = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[!-/:-@\[-`{-~]+").findall
-    _PRINTABLE = re.compile(rb"[!-~]+").fullmatch
+    _PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\xdf-\xf6\xf8-\xff]+|[0-9]|[!-/:-@\[-`{-~]+").findall
+    _SIMPLE = re.compile(r"[!-~\xc0-\xd6\xd8-\xf6\xf8-\xff]+").fullmatch
 
     def __init__(self, tokenizer: str, width: str, most: int = 800_000) -> None:
         super().__init__()
@@ -83,64 +107,26 @@ class Encoder(dict):
         steps = (rules["pre_tokenizer"] or {}).get("pretokenizers", [])
         self.plain = rules["normalizer"] == self._LOWER and [s["type"] for s in steps] == ["Split", "ByteLevel"]
         self.plain = self.plain and steps[0]["pattern"] == {"Regex": self._SPLIT}
-        self.pieces: dict[str, bytes] = {}
-        self.mark = self._ids([self._MARK])[0]
-        self.special = re.compile(b"|".join(re.escape(t.content.encode()) for t in self.tokenizer.get_added_tokens_decoder().values()) or b"(?!)")
-
-    def _ids(self, texts: list[bytes]) -> list[np.ndarray]:
-        found = self.tokenizer.encode_batch_fast([t.decode("utf-8") for t in texts], add_special_tokens=False)
-        return [np.array(e.ids, dtype=self.width) for e in found]
-
-    def _each(self, parts: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
-        """The packed ids of each part."""
-        if len(self.mark) != 1:
-            yield from zip(parts, map(bytes, self._ids(parts)))
-            return
-        for at in range(0, len(parts), 4096):
-            some = parts[at : at + 4096]
-            ids = self._ids([b" %b " % self._MARK.join([b" ", *(b" %b " % p for p in some)])])[0]
-            cuts = np.flatnonzero(ids == self.mark[0])
-            if len(cuts) != len(some):
-                raise ValueError("the tokenizer uses the id of the mark for other text")
-            size, packed = self.width.itemsize, ids.tobytes()
-            ends = [*(size * cuts[1:]).tolist(), len(packed)]
-            yield from zip(some, (packed[a:b] for a, b in zip((size * (cuts + 1)).tolist(), ends)))
-
-    def learn(self, parts: set[bytes]) -> None:
-        """Encode the parts that are not known yet."""
-        fresh = [p for p in parts if p not in self]
-        if len(self) + len(fresh) > self.most:
-            self.clear()
-            fresh = list(parts)
-        if self.plain:
-            ascii_, lowered = [], []
-            for p in filter(self._PRINTABLE, fresh):
-                low = p.lower()
-                if not self.special.search(low):
-                    ascii_.append(p)
-                    lowered.append(low.decode("ascii"))
-            self.update((p, b"".join(map(self._piece, self._ASCII(low)))) for p, low in zip(ascii_, lowered))
-            fresh = [p for p in fresh if p not in self]
-        odd = [p for p in fresh if self._MARK in p]
-        self.update(zip(odd, map(bytes, self._ids(odd))))
-        self.update(self._each([p for p in fresh if p not in self]))
-
-    def _piece(self, piece: str) -> bytes:
-        """The ids of one lower-case ASCII piece, by the tokenizer's merges alone."""
-        packed = self.pieces.get(piece)
-        if packed is None:
-            if len(self.pieces) >= self.most:
-                self.pieces.clear()
-            packed = self.pieces[piece] = np.array([t.id for t in self.tokenizer.model.tokenize(piece)], dtype=self.width).tobytes()
+        self.pieces = Pieces(self.tokenizer, width, most)
+        self.special = [t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.first = re.compile("|".join(re.escape(t[0]) for t in self.special) or "(?!)").search
+
+    def __missing__(self, part: bytes) -> bytes:
+        text = part.decode("utf-8")
+        low = text.lower()
+        if self.plain and self._SIMPLE(text) and not (self.first(low) and any(t in low for t in self.special)):
+            packed = b"".join(map(self.pieces.__getitem__, self._PARTS(low)))
+        else:
+            ids = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
+            packed = np.array(ids, dtype=self.width).tobytes()
+        if len(part) <= 64:
+            if len(self) >= self.most:
+                self.clear()
+            self[part] = packed
         return packed
 
-    def encode(self, texts: list[bytes], end: bytes) -> list[bytes]:
-        split = [t.split() for t in texts]
-        parts: set[bytes] = set()
-        for some in split:
-            parts.update(some)
-        self.learn(parts)
-        return [b"".join(map(self.__getitem__, some)) + end for some in split]
+    def encode(self, text: bytes, end: bytes) -> bytes:
+        return b"".join(map(self.__getitem__, text.split())) + end
 
 
 _WORKER: dict[tuple, Encoder] = {}
@@ -305,7 +291,7 @@ def write(
 
         for batch in small_batches(batches):
             texts = pc.fill_null(batch.column("text").cast(pa.large_binary()), b"").to_pylist()
-            packed, at = encoder.encode(texts, end), 0
+            packed, at = [encoder.encode(t, end) for t in texts], 0
             while at < len(packed):
                 stop = at
                 while stop < len(packed) and (ids == 0 or ids + len(packed[stop]) // size <= shard_ids):

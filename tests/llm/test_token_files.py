@@ -49,11 +49,20 @@ def test_absent_keys_and_empty_tables(spark, docs):
     assert token_files.read(files, asked.filter("false"), "k").count() == 0
 
 
-def test_parts_with_the_mark_and_a_full_memory():
+def test_odd_parts_and_a_full_memory():
     encoder = token_files.Encoder(open(PATH, encoding="utf-8").read(), "<u2", most=3)
     tokenizer = Tokenizer.from_file(PATH)
     for text in ["a\x01b c \x01 \x01\x01 d", "one two three four", "one five", "\x01", "<|ENDOFTEXT|> <|endoftext|>x J\u030c ÉA É \u0301"]:
-        assert np.frombuffer(encoder.encode([text.encode()], b"")[0], "<u2").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(encoder.encode(text.encode(), b""), "<u2").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_parts_are_encoded_as_whole_texts():
+    encoder = token_files.Encoder(open(PATH, encoding="utf-8").read(), "<u2")
+    tokenizer, rng = Tokenizer.from_file(PATH), np.random.default_rng(8)
+    marks = ["'s", "'LL", "12", "Ab", "c", "É", "é", "ß", "ÿ", "×", "÷", "µ", "\u0301", "İ", "Σ", "—", "!", "<|", "|>", "endoftext", "\x7f", "日", " ", "\n", "\xa0"]
+    for _ in range(3000):
+        text = "".join(marks[i] for i in rng.integers(0, len(marks), rng.integers(1, 10)))
+        assert np.frombuffer(encoder.encode(text.encode(), b""), "<u2").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
 
 
 def test_perfect_hash_is_one():
