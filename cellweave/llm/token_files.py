@@ -97,7 +97,7 @@ class Encoder(dict):
     _PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\xdf-\xf6\xf8-\xff]+|[0-9]|[!-/:-@\[-`{-~]+").findall
     _SIMPLE = re.compile(r"[!-~\xc0-\xd6\xd8-\xf6\xf8-\xff]+").fullmatch
 
-    def __init__(self, tokenizer: str, width: str, most: int = 800_000) -> None:
+    def __init__(self, tokenizer: str, width: str, most: int = 1_200_000) -> None:
         super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks share the cores already
         from tokenizers import Tokenizer
