@@ -44,7 +44,12 @@ def simhash(text: bytes, words: int = SHINGLE) -> int:
         return 0
     shingles = map(b" ".join, zip(*(found[i:] for i in range(words)))) if len(found) >= words else [b" ".join(found)]
     digest = xxhash.xxh64_intdigest
-    hashes = np.array([digest(s, 42) for s in shingles], dtype=">u8")
+    return print_of(np.array([digest(s, 42) for s in shingles], dtype=np.uint64))
+
+
+def print_of(hashes: np.ndarray) -> int:
+    """The fingerprint of 64-bit hashes: a bit is 1 if it is set in over half of them."""
+    hashes = hashes.astype(">u8")
     ones = np.zeros(64, dtype=np.int64)
     for at in range(0, len(hashes), 1 << 16):
         ones += np.unpackbits(hashes[at : at + (1 << 16)].view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)

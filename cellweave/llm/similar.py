@@ -1,15 +1,22 @@
 """Near-duplicates by exact Jaccard similarity of word shingles.
 
-Candidates come from min-hash bands: every shingle set has ``BANDS`` keys, each of
-``ROWS`` minima, and two sets of similarity s share a key with probability
-1 - (1 - s ** ROWS) ** BANDS, which is 0.9996 at 0.8.  A candidate is linked only
-when the similarity of its two texts, counted over the shingles themselves,
-reaches the threshold.
-
-Texts of one shingle set are folded first.  In a crowded key one member of every
-component found so far is held against one hub, round after round, so a large
-group of near copies costs a few rows per member; pairs that are left apart when
-a round connects nothing are then compared as they are.
+Texts of one shingle set are folded first.  Candidates then come in two steps.
+
+* SimHash: the fingerprints of the shingle sets are joined through the pivot
+  distance tables of ``simhash``; every member of a linked group is held against
+  one member of it.
+* Min-hash bands, for texts that are similar but differ in more bits: every
+  shingle set has ``BANDS`` keys, each of ``ROWS`` minima, and two sets of
+  similarity s share a key with probability 1 - (1 - s ** ROWS) ** BANDS, which
+  is 0.9996 at 0.8.  A key of one set alone is dropped at once.
+
+A candidate is linked only when the similarity of its two texts, counted over
+the shingles themselves, reaches the threshold.
+
+In a crowded key one member of every component found so far is held against one
+hub, round after round, so a large group of near copies costs a few rows per
+member; pairs that are left apart when a round connects nothing are then
+compared as they are.
 """
 
 from __future__ import annotations
@@ -24,6 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
+from cellweave.llm import simhash
 from cellweave.llm.common import small_batches, texts_of
 from cellweave.llm.components import components
 from cellweave.session import write_stage
@@ -46,13 +54,13 @@ def shingles(text: bytes, words: int = WORDS) -> set[bytes]:
     return set(map(b" ".join, zip(*(found[i:] for i in range(words)))))
 
 
-def signature(text: bytes, words: int = WORDS) -> tuple[str, int, list[int]]:
-    """A digest of the shingle set, its size and its band keys; a wordless text has no keys."""
+def signature(text: bytes, words: int = WORDS) -> tuple[str, int, int, list[int]]:
+    """A digest of the shingle set, its size, its SimHash and its band keys; a wordless text has no keys."""
     digest = xxhash.xxh64_intdigest
     hashes = np.unique(np.array([digest(s, 42) for s in shingles(text, words)], dtype=np.uint64))
     node = xxhash.xxh3_128_hexdigest(hashes.tobytes())
     if not len(hashes):
-        return node, 0, []
+        return node, 0, 0, []
     low = (hashes >> np.uint64(32)).astype(np.uint32)
     least = np.full(BANDS * ROWS, np.iinfo(np.uint32).max, dtype=np.uint32)
     for at in range(0, len(low), 4096):
@@ -60,11 +68,11 @@ def signature(text: bytes, words: int = WORDS) -> tuple[str, int, list[int]]:
         part *= _FACTORS[:, None]
         np.minimum(least, part.min(axis=1), out=least)
     keys = [xxhash.xxh64_intdigest(band.tobytes(), i) for i, band in enumerate(least.reshape(BANDS, ROWS))]
-    return node, len(hashes), np.array(keys, dtype=np.uint64).view(np.int64).tolist()
+    return node, len(hashes), int(np.uint64(simhash.print_of(hashes)).astype(np.int64)), np.array(keys, dtype=np.uint64).view(np.int64).tolist()
 
 
 def signatures(docs: DataFrame, words: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(row, place, node, n, keys) of every row: the row as a struct, its number, and its text's signature."""
+    """(row, place, doc_id, text, node, n, simhash, keys) of every row: the row as a struct, its number, and its text's signature."""
     rows = docs.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("place"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -72,13 +80,14 @@ def signatures(docs: DataFrame, words: int, id_col: str = "doc_id", text_col: st
             text = pc.struct_field(whole.column("row"), text_col).cast(pa.string())
             for batch in small_batches(iter([whole.append_column("_text", text)]), "_text"):
                 found = [signature(t, words) for t in texts_of(batch, "_text")]
-                node, n, keys = zip(*found) if found else ((), (), ())
-                added = [pa.array(node, pa.string()), pa.array(n, pa.int64()), pa.array(keys, pa.list_(pa.int64()))]
-                yield pa.record_batch([batch.column("row"), batch.column("place"), *added], ["row", "place", "node", "n", "keys"])
+                node, n, fingerprint, keys = zip(*found) if found else ((), (), (), ())
+                added = [pa.array(node, pa.string()), pa.array(n, pa.int64()), pa.array(fingerprint, pa.int64()), pa.array(keys, pa.list_(pa.int64()))]
+                yield pa.record_batch([batch.column("row"), batch.column("place"), *added], schema.names)
 
-    schema = StructType([*rows.schema.fields, StructField("node", StringType()), StructField("n", LongType()), StructField("keys", ArrayType(LongType()))])
+    added = [StructField("node", StringType()), StructField("n", LongType()), StructField("simhash", LongType()), StructField("keys", ArrayType(LongType()))]
+    schema = StructType([*rows.schema.fields, *added])
     found = write_stage(rows.mapInArrow(run, schema), "signatures")
-    return found.select("row", "place", F.col(f"row.`{id_col}`").alias("doc_id"), F.col(f"row.`{text_col}`").cast("string").alias("text"), "node", "n", "keys")
+    return found.select("row", "place", F.col(f"row.`{id_col}`").alias("doc_id"), F.col(f"row.`{text_col}`").cast("string").alias("text"), "node", "n", "simhash", "keys")
 
 
 def _may_reach(n: Column, m: Column, similarity: float) -> Column:
@@ -86,12 +95,12 @@ def _may_reach(n: Column, m: Column, similarity: float) -> Column:
     return F.least(n, m) >= F.lit(similarity) * F.greatest(n, m)
 
 
-def verified(pairs: DataFrame, rows: DataFrame, words: int, similarity: float) -> DataFrame:
+def verified(pairs: DataFrame, texts: DataFrame, words: int, similarity: float) -> DataFrame:
     """The pairs (a, b, ...) whose texts have at least this similarity."""
-    asked = pairs.select(F.col("a").alias("node")).unionAll(pairs.select(F.col("b").alias("node"))).distinct()
-    texts = rows.select("node", "text").join(asked, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text"))
-    both = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("left")), "a")
-    both = both.join(texts.select(F.col("node").alias("b"), F.col("text").alias("right")), "b")
+    asked = write_stage(pairs.select(F.col("a").alias("node")).unionAll(pairs.select(F.col("b").alias("node"))).distinct(), "asked")
+    asked = write_stage(texts.join(asked, "node", "left_semi"), "asked-texts")
+    both = pairs.join(asked.select(F.col("node").alias("a"), F.col("text").alias("left")), "a")
+    both = both.join(asked.select(F.col("node").alias("b"), F.col("text").alias("right")), "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: tuple[bytes, set] = (b"", set())  # pairs of one hub tend to come together
@@ -112,32 +121,53 @@ def _relabelled(now: DataFrame, found: DataFrame) -> DataFrame:
     """``now`` with the components that the found pairs connect under one name; only components with a pair are looked at."""
     graph = components(found.select(F.col("ca").alias("u"), F.col("cb").alias("v"))).distinct()
     moved = now.join(graph.select(F.col("node").alias("component"), F.col("component").alias("to")), "component", "left")
-    return moved.select("node", "n", "keys", F.coalesce("to", "component").alias("component"))
+    return moved.select("node", F.coalesce("to", "component").alias("component"))
 
 
-def _postings(now: DataFrame, bands: int | None = None) -> DataFrame:
-    keys = F.col("keys") if bands is None else F.slice("keys", 1, bands)
-    return now.select("node", "n", "component", F.explode(keys).alias("key"))
+def print_links(nodes: DataFrame, texts: DataFrame, words: int, similarity: float) -> DataFrame:
+    """(a, b): each node of a group of linked SimHashes with the hub of its group, as far as their texts are similar."""
+    worded = nodes.filter("n > 0")
+    near = write_stage(simhash.linked_prints(worded.select("simhash")), "print-links")
+    graph = components(near.select(F.col("a").alias("u"), F.col("b").alias("v"))).distinct()
+    grouped = worded.join(graph.select(F.col("node").alias("simhash"), "component"), "simhash", "left")
+    grouped = write_stage(grouped.select("node", "n", F.coalesce("component", "simhash").alias("group")), "print-groups")
+    pick = F.min(F.struct(F.xxhash64("node").alias("place"), "node", "n")).alias("hub")
+    hubs = write_stage(grouped.groupBy("group").agg(pick, F.count(F.lit(1)).alias("m")).filter("m > 1").select("group", "hub"), "print-hubs")
+    held = grouped.join(hubs, "group").filter(F.col("node") != F.col("hub.node")).filter(_may_reach(F.col("n"), F.col("hub.n"), similarity))
+    return verified(write_stage(held.select(F.col("node").alias("a"), F.col("hub.node").alias("b")), "pairs"), texts, words, similarity)
+
+
+def shared_keys(nodes: DataFrame) -> DataFrame:
+    """(node, n, band, key): the band keys that more than one node has; the others can link nothing."""
+    postings = nodes.select("node", "n", F.posexplode("keys").alias("band", "key"))
+    shared = write_stage(postings.groupBy("key").agg(F.count(F.lit(1)).alias("m")).filter("m > 1").select("key"), "shared-keys")
+    return write_stage(postings.join(shared, "key", "left_semi").select("node", "n", "band", "key"), "postings")
 
 
 def links_of(rows: DataFrame, nodes: DataFrame, words: int, similarity: float) -> DataFrame:
     """(a, b): links that connect what pairs of that similarity among the candidates connect.
 
-    A round compares, in every key whose members are not all connected, one
-    member of each component with one hub; the hubs of a node's keys are mostly
-    the same node, chosen by a hash of node and round.  When few pairs are left
-    apart, or a round connects nothing, these pairs are compared as they are.
+    ``nodes`` (node, n, simhash, keys) names a shingle set by the place of one of
+    its ``rows``.  After the SimHash step a round compares, in every key whose
+    members are not all connected, one member of each component with one hub; the
+    hubs of a node's keys are mostly the same node, chosen by a hash of node and
+    round.  When few pairs are left apart, or a round connects nothing, these
+    pairs are compared as they are.
     """
-    links = write_stage(nodes.select(F.col("node").alias("a"), F.col("node").alias("b")).filter("false"), "links")
-    tried, now, total = links, nodes.withColumn("component", F.col("node")), nodes.count()
+    texts = rows.select(F.col("place").alias("node"), "text")
+    links = print_links(nodes, texts, words, similarity)
+    tried, total, held = links, nodes.count(), shared_keys(nodes)
+    now = held.select("node", F.col("node").alias("component")).distinct()
+    known = links.select("a", "b", F.col("a").alias("ca"), F.col("b").alias("cb"))
+    now = write_stage(_relabelled(now, known), "labelled")
     for attempt in range(1 << 30):
         # the first rounds look at few bands, which connect most of a large group of near copies
-        postings = _postings(now, FIRST_BANDS if attempt < FIRST_ROUNDS else None)
+        bands = FIRST_BANDS if attempt < FIRST_ROUNDS else BANDS
+        postings = held.filter(F.col("band") < bands).join(now, "node")
         pick = F.min(F.struct(F.xxhash64("node", F.lit(attempt)).alias("place"), "node", "n", "component")).alias("pick")
-        reps = postings.groupBy("key", "component").agg(pick, F.count(F.lit(1)).alias("m"))
+        reps = write_stage(postings.groupBy("key", "component").agg(pick, F.count(F.lit(1)).alias("m")), "reps")
         apart = F.pow(F.sum("m"), 2) - F.sum(F.pow("m", F.lit(2)))
-        hubs = reps.groupBy("key").agg(F.min("pick").alias("hub"), apart.alias("apart")).filter("apart > 0")
-        reps, hubs = write_stage(reps.drop("component", "m").join(hubs.select("key"), "key", "left_semi"), "reps"), write_stage(hubs, "hubs")
+        hubs = write_stage(reps.groupBy("key").agg(F.min("pick").alias("hub"), apart.alias("apart")).filter("apart > 0"), "hubs")
         if attempt >= FIRST_ROUNDS and (hubs.agg(F.sum("apart")).first()[0] or 0) / 2 <= FEW * total:
             break
         around = reps.join(hubs, "key").filter(F.col("pick.node") != F.col("hub.node")).filter(_may_reach(F.col("pick.n"), F.col("hub.n"), similarity))
@@ -146,30 +176,32 @@ def links_of(rows: DataFrame, nodes: DataFrame, words: int, similarity: float) -
         pairs = around.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"), F.col("x.component").alias("ca"), F.col("y.component").alias("cb"))
         pairs = write_stage(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
         tried = tried.unionAll(pairs.select("a", "b"))
-        found = verified(pairs, rows, words, similarity)
+        found = verified(pairs, texts, words, similarity)
         if found.isEmpty():
             if attempt >= FIRST_ROUNDS:
                 break
             continue
         links = links.unionAll(found.select("a", "b"))
         now = write_stage(_relabelled(now, found), "labelled")
-    postings = _postings(now)
+    postings = write_stage(held.join(now, "node"), "postings")
     apart = postings.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("key")
     shared = write_stage(postings.join(apart, "key", "left_semi"), "shared")
     a, b = shared.alias("a"), shared.alias("b")
     both = (F.col("a.key") == F.col("b.key")) & (F.col("a.node") < F.col("b.node")) & (F.col("a.component") != F.col("b.component"))
     pairs = a.join(b, both & _may_reach(F.col("a.n"), F.col("b.n"), similarity)).select(F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct()
     left = write_stage(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
-    return links.unionAll(verified(left, rows, words, similarity).select("a", "b"))
+    return links.unionAll(verified(left, texts, words, similarity).select("a", "b"))
 
 
 def _named(rows: DataFrame, words: int, similarity: float) -> DataFrame:
     """(node, first): the first row (none, doc_id, place) of each node's group; rows without a key come last."""
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "place")
-    nodes = write_stage(rows.groupBy("node").agg(F.min(order).alias("first"), F.first("n").alias("n"), F.first("keys").alias("keys")), "nodes")
-    graph = components(links_of(rows, nodes, words, similarity).select(F.col("a").alias("u"), F.col("b").alias("v"))).distinct()
-    least = nodes.select("node", "first")
-    grouped = graph.join(least, "node")
+    same = [F.first(c).alias(c) for c in ("n", "simhash", "keys")]
+    nodes = write_stage(rows.groupBy("node").agg(F.min(order).alias("first"), F.min("place").alias("at"), *same), "nodes")
+    links = links_of(rows, nodes.select(F.col("at").alias("node"), "n", "simhash", "keys"), words, similarity)
+    graph = components(links.select(F.col("a").alias("u"), F.col("b").alias("v"))).distinct()
+    least = nodes.select("node", "at", "first")
+    grouped = graph.select(F.col("node").alias("at"), "component").join(least, "at")
     smallest = grouped.groupBy("component").agg(F.min("first").alias("smallest"))
     moved = grouped.join(smallest, "component").select("node", "smallest")
     return least.join(moved, "node", "left").select("node", F.coalesce("smallest", "first").alias("first"))
@@ -197,5 +229,5 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     of repeated rows, or of rows without keys, keeps exactly one, and keys that clash drop nothing.
     """
     rows = signatures(docs, words, id_col, text_col)
-    kept = _named(rows, words, similarity).select("first.place").distinct()
+    kept = write_stage(_named(rows, words, similarity).select("first.place").distinct(), "kept")
     return rows.select("row", "place").join(kept, "place", "left_semi").select("row.*")

@@ -28,9 +28,10 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of near-duplicates: that with the smallest doc_id, of equal ones the first.
 
-    Near-duplicates share 0.8 or more of their five-word shingles.  Candidates come from min-hash bands: at that
-    similarity 64-bit SimHashes differ in up to 14 bits, too many for pivot distances to tell pairs apart.  Rows are
-    judged by themselves, so null, repeated or clashing keys drop no other row; a group of rows without keys keeps one too.
+    Near-duplicates share 0.8 or more of their five-word shingles.  SimHashes that the pivot distance tables link are
+    candidates first; at that similarity fingerprints differ in up to 14 bits, too many for pivot distances to tell pairs
+    apart, so min-hash bands name the candidates that are left.  Rows are judged by themselves, so null, repeated or
+    clashing keys drop no other row; a group of rows without keys keeps one too.
     """
     return similar.one_of_each(docs, words=5, similarity=0.8)
 
@@ -56,7 +57,7 @@ def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("toxicity", drop_toxic),
-    ("near-dedup by min-hash", keep_one_of_each),
+    ("near-dedup by simhash and min-hash", keep_one_of_each),
     ("benchmark decontamination", drop_contaminated),
     ("pii pseudonyms", replace_pii),
     ("byte-level bpe", tokenise),

@@ -5,7 +5,9 @@ import random
 import pytest
 
 import corpus_pipeline
-from cellweave.llm import similar
+from pyspark.sql import functions as F
+
+from cellweave.llm import simhash, similar
 
 
 def _texts():
@@ -51,6 +53,32 @@ def test_components_match_brute_force(docs, monkeypatch, first, few):
     assert {r.doc_id: r.component_id for r in similar.near_duplicates(docs).collect()} == expected
 
 
+def test_simhash_pivot_tables_name_candidates_first(docs, monkeypatch):
+    """What the SimHash step links holds by itself, and covers texts that differ in few bits."""
+    rows = similar.signatures(docs, 5)
+    order = rows.groupBy("node").agg(F.min("place").alias("at"), *(F.first(c).alias(c) for c in ("n", "simhash", "keys")))
+    nodes = order.select(F.col("at").alias("node"), "n", "simhash", "keys").cache()
+    asked, joined = [], simhash.linked_prints
+    monkeypatch.setattr(simhash, "linked_prints", lambda prints, *a: asked.append(prints.count()) or joined(prints, *a))
+    found = similar.links_of(rows, nodes, 5, 0.8).count()
+    linked = similar.print_links(nodes, rows.select(F.col("place").alias("node"), "text"), 5, 0.8).collect()
+    assert asked == [nodes.filter("n > 0").count()] * 2 and 0 < len(linked) <= found
+    texts = {r.place: shingle_set(r.text) for r in rows.collect()}
+    assert all(len(texts[a] & texts[b]) >= 0.8 * len(texts[a] | texts[b]) for a, b in linked)
+
+
+def test_keys_of_one_node_are_dropped(docs):
+    rows = similar.signatures(docs, 5)
+    nodes = rows.groupBy("node").agg(*(F.first(c).alias(c) for c in ("n", "keys"))).cache()
+    held = similar.shared_keys(nodes)
+    assert 0 < held.count() < nodes.agg(F.sum(F.size("keys"))).first()[0]
+    assert held.groupBy("key").count().filter("count < 2").isEmpty()
+
+
+def shingle_set(text):
+    return similar.shingles((text or "").encode())
+
+
 def test_empty_and_missing_keys(spark, docs):
     assert similar.near_duplicates(docs.filter("false")).count() == 0
     rows = spark.createDataFrame([(None, "a b c d e f"), (4, "a b c d e f"), (4, "a b c d e f"), (9, "g")], "doc_id long, text string")
