@@ -123,10 +123,14 @@ def wide_to_long(
 
 
 def matrix_market(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Entries (folder, row, col, value; 1-based) and sizes (folder, n_rows, n_cols, nnz, header_ok)."""
+    """Entries (folder, row, col, value; 1-based) and sizes (folder, n_rows, n_cols, nnz, header_ok).
+
+    The size lines, one per folder, are written first: Spark then knows how small
+    they are, and does not deal the lines by folder to leave out the size line.
+    """
     comment = F.col("value").startswith("%")
     body = lines.where(~comment & (F.trim("value") != ""))
-    first = body.groupBy("folder").agg(F.min(place()).alias("_at"), F.min_by("value", place()).alias("_size"))
+    first = write_stage(body.groupBy("folder").agg(F.min(place()).alias("_at"), F.min_by("value", place()).alias("_size")), "sizes")
     banner = lines.groupBy("folder").agg(F.min_by("value", place()).alias("_banner"))
     size = F.split(F.trim("_size"), r"\s+")
     sizes = first.join(banner, "folder").select(

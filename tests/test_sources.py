@@ -167,3 +167,20 @@ def test_a_wide_file_of_thousands_of_genes(spark, tmp_path):
     (tmp_path / "w" / "a.csv").write_text("\n".join([",".join(["fov", "cell_ID", *names]), ",".join(["1", "1", *map(str, range(3000))])]))
     got = {r.gene: r.value for r in text.wide_to_long(spark, f"{tmp_path}/w").collect()}
     assert got == {f"G{i}": float(i) for i in range(1, 3000)}
+
+
+def test_matrix_lines_are_not_dealt_by_folder(spark, tmp_path):
+    """All lines of a large file would go to the one task of its folder."""
+    path = str(tmp_path / "sample")
+    (tmp_path / "sample").mkdir()
+    (tmp_path / "sample" / "a.mtx").write_text("%%MatrixMarket matrix coordinate real general\n% made\n3 40000 40000\n")
+    (tmp_path / "sample" / "b.mtx").write_text("".join(f"1 {i} 2\n" for i in range(1, 40001)))
+    lines = text.read_lines(spark, path)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100k")  # as for a file of many gigabytes
+    try:
+        entries, _ = text.matrix_market(lines)
+        assert "SortMergeJoin" not in entries._jdf.queryExecution().sparkPlan().toString()
+        assert entries.count() == 40000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
