@@ -201,7 +201,7 @@ def scan_dcc(spark, sf):
     lines = text.read_lines(spark, _profile(spark, sf) + "/*")
     tagged = lines.withColumn("folder", F.regexp_replace("folder", "^region=", ""))
     fields = write_stage(text.dcc_fields(tagged), "fields")
-    regions = text.dcc_regions(fields).drop("folder")
+    regions = write_stage(text.dcc_regions(fields).drop("folder"), "regions")
     return text.dcc_counts(fields).join(regions, "gsm_id")
 
 

@@ -218,12 +218,16 @@ QUALITY_FIELDS = {"umi_q30": "umiQ30", "rts_q30": "rtsQ30"}
 
 
 def dcc_fields(lines: DataFrame) -> DataFrame:
-    """``key,value`` lines with the section they stand in; one folder holds one region."""
+    """``key,value`` lines with the section they stand in; one folder holds one region.
+
+    The places of the section marks, one row per folder, are written first, as in ``matrix_market``.
+    """
     tag = F.trim("value")
     marks = lines.where(tag.startswith("<")).groupBy("folder").agg(
         *[F.min(F.when(tag == f"<{s}>", place())).alias(f"_{s}0") for s in SECTIONS],
         *[F.max(F.when(tag == f"</{s}>", place())).alias(f"_{s}1") for s in SECTIONS],
     )
+    marks = write_stage(marks, "marks")
     section = F.coalesce(
         *[F.when((place() > F.col(f"_{s}0")) & (place() < F.col(f"_{s}1")), F.lit(s)) for s in SECTIONS]
     )

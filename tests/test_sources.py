@@ -184,3 +184,17 @@ def test_matrix_lines_are_not_dealt_by_folder(spark, tmp_path):
         assert entries.count() == 40000
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_profile_lines_are_not_dealt_by_folder(spark, tmp_path):
+    (tmp_path / "GSM1_A").mkdir()
+    body = "".join(f"RTS{i},{i}\n" for i in range(20000))
+    (tmp_path / "GSM1_A" / "a.dcc").write_text(f"<Header>\nFileVersion,0.02\n</Header>\n<Code_Summary>\n{body}</Code_Summary>\n")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100k")  # as for a file of many gigabytes
+    try:
+        fields = text.dcc_fields(text.read_lines(spark, str(tmp_path / "GSM1_A")))
+        assert "SortMergeJoin" not in fields._jdf.queryExecution().sparkPlan().toString()
+        assert text.dcc_counts(fields).count() == 20000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
