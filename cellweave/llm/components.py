@@ -21,22 +21,25 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.unionAll(least.select("u", F.col("m").alias("v"))).filter("u <> v").distinct()
 
 
+def _stars(edges: DataFrame) -> bool:
+    """Every node ``u`` has one edge and is no other's ``v``."""
+    roles = edges.select(F.col("u").alias("node")).unionAll(edges.select("v").distinct())
+    return roles.groupBy("node").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) of every node with an edge; the component is its smallest node.
 
     ``edges`` has two columns ``u`` and ``v`` of one orderable type.  Loops and
     repeated edges are allowed; an empty table gives an empty result.  Each
     round is written to the shared folder, which cuts lineage; rounds go on
-    until a round changes nothing.  Minima are combined before the shuffle, so a
-    hub with a third of all edges costs one row per task.
+    until the edges are stars around smallest nodes, which no step changes.
+    Minima are combined before the shuffle, so a hub with a third of all edges
+    costs one row per task.
     """
     now = write_stage(edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
-    mark = None
-    while True:
-        seen = now.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.xxhash64("u", "v") % 1_000_000_007), F.lit(0))).first()
-        if mark == tuple(seen) or seen[0] == 0:
-            return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionAll(
-                now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
-            )
-        mark = tuple(seen)
+    while not _stars(now):
         now = write_stage(_small_star(_large_star(now)), "edges")
+    return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionAll(
+        now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
+    )

@@ -40,8 +40,10 @@ WORDS, SIMILARITY = 5, 0.8
 BANDS, ROWS = 20, 5
 #: The first rounds look at so many bands only.
 FIRST_BANDS, FIRST_ROUNDS = 3, 2
-#: Pairs left apart for each different text from which another round is worth its cost.
-FEW = 2
+#: Pairs left apart for each different text from which another round is worth its cost, and up to which a slow round is the last.
+FEW, MANY = 2, 8
+#: A round that leaves more than this share of the pairs apart is slow.
+SLOW = 0.9
 _FACTORS = np.random.default_rng(20).integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint32) | np.uint32(1)
 _MASKS = np.random.default_rng(21).integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint32)
 
@@ -151,15 +153,18 @@ def links_of(rows: DataFrame, nodes: DataFrame, words: int, similarity: float) -
     its ``rows``.  After the SimHash step a round compares, in every key whose
     members are not all connected, one member of each component with one hub; the
     hubs of a node's keys are mostly the same node, chosen by a hash of node and
-    round.  When few pairs are left apart, or a round connects nothing, these
-    pairs are compared as they are.
+    round.  When few pairs are left apart, or a round connects nothing or next to
+    nothing, these pairs are compared as they are.
     """
     texts = rows.select(F.col("place").alias("node"), "text")
     links = print_links(nodes, texts, words, similarity)
     tried, total, held = links, nodes.count(), shared_keys(nodes)
-    now = held.select("node", F.col("node").alias("component")).distinct()
+    now = write_stage(held.select("node", F.col("node").alias("component")).distinct(), "labelled")
+    # only nodes with a shared key are asked for again, so the rounds do not read the other texts
+    texts = write_stage(texts.join(now.select("node"), "node", "left_semi"), "shared-texts")
     known = links.select("a", "b", F.col("a").alias("ca"), F.col("b").alias("cb"))
     now = write_stage(_relabelled(now, known), "labelled")
+    before = float("inf")
     for attempt in range(1 << 30):
         # the first rounds look at few bands, which connect most of a large group of near copies
         bands = FIRST_BANDS if attempt < FIRST_ROUNDS else BANDS
@@ -168,8 +173,11 @@ def links_of(rows: DataFrame, nodes: DataFrame, words: int, similarity: float) -
         reps = write_stage(postings.groupBy("key", "component").agg(pick, F.count(F.lit(1)).alias("m")), "reps")
         apart = F.pow(F.sum("m"), 2) - F.sum(F.pow("m", F.lit(2)))
         hubs = write_stage(reps.groupBy("key").agg(F.min("pick").alias("hub"), apart.alias("apart")).filter("apart > 0"), "hubs")
-        if attempt >= FIRST_ROUNDS and (hubs.agg(F.sum("apart")).first()[0] or 0) / 2 <= FEW * total:
-            break
+        if attempt >= FIRST_ROUNDS:
+            left = (hubs.agg(F.sum("apart")).first()[0] or 0) / 2
+            if left <= FEW * total or (left > SLOW * before and left <= MANY * total):
+                break
+            before = left
         around = reps.join(hubs, "key").filter(F.col("pick.node") != F.col("hub.node")).filter(_may_reach(F.col("pick.n"), F.col("hub.n"), similarity))
         ends = F.struct("pick.node", "pick.component").alias("x"), F.struct("hub.node", "hub.component").alias("y")
         around = around.select(*ends).select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()

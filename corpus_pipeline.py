@@ -16,11 +16,24 @@ from cellweave.llm.common import read
 from cellweave.session import write_stage
 
 
+#: Rows of one Arrow batch: whole texts travel, and a batch is held by the JVM and by the Python worker.
+BATCH_ROWS = 1000
+
+
+def hold_batches_small(spark: SparkSession) -> None:
+    """From now on the session's Arrow batches have at most BATCH_ROWS rows; a smaller setting stays."""
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    rows = int(spark.conf.get(setting))
+    if rows <= 0 or rows > BATCH_ROWS:
+        spark.conf.set(setting, str(BATCH_ROWS))
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows whose toxicity score is below one half; labels of all rows are learned from.
 
     Each row is judged by its own text, so repeated or missing keys need no rule.
     """
+    hold_batches_small(spark)
     judged = toxicity.toxicity(docs, read(spark, sf_dir, "labels"), F.lit(True), whole_rows=True)
     return judged.filter("score < 0.5").select("row.*")
 
@@ -33,6 +46,7 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     apart, so min-hash bands name the candidates that are left.  Rows are judged by themselves, so null, repeated or
     clashing keys drop no other row; a group of rows without keys keeps one too.
     """
+    hold_batches_small(spark)
     return similar.one_of_each(docs, words=5, similarity=0.8)
 
 
@@ -41,6 +55,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
     Each row is judged by its own text, so repeated or missing keys need no rule.
     """
+    hold_batches_small(spark)
     rows = docs.select(F.struct("*").alias("doc_id"), "text")
     return winnow.contamination(rows, read(spark, sf_dir, "benchmark")).filter("n_hit = 0").select("doc_id.*")
 
@@ -52,6 +67,7 @@ def replace_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token counts and digests of ids and of the bytes they decode to."""
+    hold_batches_small(spark)
     return bpe.round_trip(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 

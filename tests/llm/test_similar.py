@@ -7,7 +7,9 @@ import pytest
 import corpus_pipeline
 from pyspark.sql import functions as F
 
+from cellweave.llm import components as component_steps
 from cellweave.llm import simhash, similar
+from cellweave.session import write_stage
 
 
 def _texts():
@@ -109,3 +111,40 @@ def test_pipeline_stages_judge_rows_by_themselves(spark, tmp_path):
     changed = corpus_pipeline.replace_pii(spark, docs, "")
     assert changed.columns == docs.columns and changed.count() == docs.count()
     assert corpus_pipeline.tokenise(spark, docs, "").count() == docs.count()
+
+
+def test_stars_take_no_round(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(component_steps, "write_stage", lambda df, label: written.append(label) or write_stage(df, label))
+    found = component_steps.components(spark.createDataFrame([(5, 1), (1, 7), (9, 2), (9, 9)], "u long, v long"))
+    assert {tuple(r) for r in found.collect()} == {(1, 1), (5, 1), (7, 1), (2, 2), (9, 2)}
+    assert written == ["edges"]
+
+
+def test_rounds_read_only_texts_with_a_shared_key(spark, monkeypatch):
+    read, kept = [], similar.verified
+    monkeypatch.setattr(similar, "verified", lambda pairs, texts, *rest: read.append(texts.count()) or kept(pairs, texts, *rest))
+    near = [" ".join(["same"] * 5 + [f"n{i}" for i in range(100)] + [f"end{k}"]) for k in range(2)]
+    alone = [" ".join(f"a{k}x{i}" for i in range(100)) for k in range(30)]
+    docs = spark.createDataFrame(list(enumerate(near + alone)), "doc_id long, text string")
+    assert similar.one_of_each(docs).count() == 31
+    assert all(n < 10 for n in read[1:])
+
+
+def test_slow_rounds_end_and_the_rest_is_compared(docs, monkeypatch):
+    monkeypatch.setattr(similar, "FEW", 0)
+    monkeypatch.setattr(similar, "SLOW", 0.0)
+    found = {r["doc_id"]: r["component_id"] for r in similar.near_duplicates(docs).collect()}
+    assert found == _groups(0.8)
+
+
+def test_pipeline_holds_arrow_batches_small(spark, docs):
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(setting)
+    try:
+        for rows, kept in ((10000, 1000), (0, 1000), (7, 7)):
+            spark.conf.set(setting, str(rows))
+            corpus_pipeline.hold_batches_small(spark)
+            assert int(spark.conf.get(setting)) == kept
+    finally:
+        spark.conf.set(setting, before)
