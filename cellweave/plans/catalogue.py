@@ -168,7 +168,8 @@ def collections(spark, sf):
             ).alias("assets"),
         )
 
-    return v.table(spark, sf, "customer").select(
+    # a customer is few bytes and its document many, so the rows are dealt out before the documents are made
+    return v.table(spark, sf, "customer").repartition("c_custkey").select(
         F.to_json(
             F.struct(
                 F.concat(F.lit("C"), key).alias("collection_id"),
