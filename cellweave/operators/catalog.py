@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cellweave.functions.text import first_token, folder_name, tokens
+from cellweave.session import write_stage
 
 # Assay names that count as spatial, matched as lower-case substrings.
 SPATIAL_ASSAYS = [
@@ -279,7 +280,11 @@ def build_catalog(documents: DataFrame, hits: DataFrame) -> DataFrame:
 
 
 def size_report(catalog: DataFrame, top_tissues: int = 10) -> DataFrame:
-    """Number of data sets, total size in GB, counts by organism and the largest tissues."""
+    """Number of data sets, total size in GB, counts by organism and the largest tissues.
+
+    What is counted is written first, so the three parts do not read the documents anew.
+    """
+    catalog = write_stage(catalog.select("organism", "tissue", "h5ad_size_mb"), "sizes")
     whole = catalog.agg(
         F.count("*").cast("double").alias("n_datasets"),
         F.round(F.coalesce(F.sum("h5ad_size_mb"), F.lit(0.0)) / 1000, 1).alias("total_gb"),
