@@ -4,8 +4,8 @@ A window over ``(key)`` sends one key's rows to one task.  Here the rows are
 first cut into ranges of the ordered column (``Bucketizer`` over approximate
 quantiles, so each range holds about the same share of all rows), windows run
 within ``(key, range)``, and the ranges are tied together by their totals: at
-most one row per key and range.  This is done at every size.  Ordered columns
-are numeric; nulls come first and NaN last, as in an ascending Spark sort.
+most one row per key and range.  This is done at every size; only keys of at most
+``WHOLE_KEY`` rows are placed whole by ``value_positions``.  Ordered columns are numeric; nulls come first and NaN last, as in an ascending Spark sort.
 """
 
 from __future__ import annotations
@@ -22,6 +22,8 @@ from pyspark.sql.types import NumericType
 from cellweave.session import write_stage
 
 RANGE = "_range"
+#: Rows of a key up to which one window places them all.
+WHOLE_KEY = 1 << 16
 
 
 def range_count(df: DataFrame) -> int:
@@ -30,6 +32,11 @@ def range_count(df: DataFrame) -> int:
     return max(32, min(2048, 4 * parts))
 
 
+def _check_numeric(df: DataFrame, column: str) -> None:
+    if not isinstance(df.schema[column].dataType, NumericType):
+        raise TypeError(f"{column} must be numeric to be ordered by ranges, not {df.schema[column].dataType.simpleString()}")
+
+
 def with_range(df: DataFrame, column: str) -> DataFrame:
     """Add ``_range``: the index of the equal-share range that holds ``column``.
 
@@ -37,8 +44,7 @@ def with_range(df: DataFrame, column: str) -> DataFrame:
     same row gets the same range whenever a task is run again.  Equal values
     share a range; nulls have range -1, NaN the last one.
     """
-    if not isinstance(df.schema[column].dataType, NumericType):
-        raise TypeError(f"{column} must be numeric to be ordered by ranges, not {df.schema[column].dataType.simpleString()}")
+    _check_numeric(df, column)
     count = range_count(df)
     probs = [i / count for i in range(1, count)]
     found = df.select(F.col(column).cast("double").alias("_v")).approxQuantile("_v", probs, 0.25 / count)
@@ -70,6 +76,23 @@ def value_positions(counts: DataFrame, keys: list[str], value: str, n: str, stag
     rows = counts.where(F.col(value).isNotNull() & (F.col(n) > 0))
     if not staged:
         rows = write_stage(rows, "positions")
+    _check_numeric(rows, value)
+    large = rows.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > WHOLE_KEY)
+    large = write_stage(large.select(*keys), "large-keys")
+    if large.isEmpty():
+        return _whole_keys(rows, keys, value, n)
+    few, many = (rows.alias("p").join(large.alias("o"), _same(keys), how) for how in ("left_anti", "left_semi"))
+    return _whole_keys(few, keys, value, n).unionByName(_by_ranges(many, keys, value, n))
+
+
+def _whole_keys(rows: DataFrame, keys: list[str], value: str, n: str) -> DataFrame:
+    """Positions of keys that one window each can place."""
+    key = W.partitionBy(*keys)
+    return _placed(rows, keys, value, n, key).withColumn("total", F.sum(n).over(key)).withColumn(RANGE, F.lit(0.0))
+
+
+def _by_ranges(rows: DataFrame, keys: list[str], value: str, n: str) -> DataFrame:
+    """Positions of keys of any size."""
     ranged = with_range(rows, value)
     offsets = _range_offsets(ranged.groupBy(*keys, RANGE).agg(F.sum(n).alias("_n")), keys, "_n")
     local = _placed(ranged, keys, value, n, W.partitionBy(*keys, RANGE))

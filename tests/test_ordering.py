@@ -81,3 +81,17 @@ def test_bh_adjust(spark, both_ways):
     got = {(r.g, r.i): r.p_adj for r in o.bh_adjust(df, ["g"], "p").collect()}
     for g, ps in sets.items():
         assert [got[(g, i)] for i in range(len(ps))] == pytest.approx(_bh(ps).tolist())
+
+
+def test_small_and_large_keys_are_placed_alike(spark, monkeypatch, capsys):
+    """Small keys are placed whole, without a join of all rows; large ones by ranges, with the same positions."""
+    from cellweave.operators import ordering
+
+    rows = [(k, float(v % 7 + 1), 1 + v % 2) for k, size in (("a", 5), ("b", 40), (None, 9)) for v in range(size)]
+    counts = spark.createDataFrame(rows, "key string, value double, n long")
+    ordering.value_positions(counts, ["key"], "value", "n").explain()
+    assert "Join" not in capsys.readouterr().out
+    whole = ordering.value_positions(counts, ["key"], "value", "n").drop(ordering.RANGE)
+    monkeypatch.setattr(ordering, "WHOLE_KEY", 10)
+    cut = ordering.value_positions(counts, ["key"], "value", "n").select(*whole.columns)
+    assert sorted(map(str, whole.collect())) == sorted(map(str, cut.collect()))
