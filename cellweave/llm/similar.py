@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
 from cellweave.llm import simhash
-from cellweave.llm.common import small_batches, texts_of
+from cellweave.llm.common import small_batches, split_by_keys, texts_of
 from cellweave.llm.components import components
 from cellweave.session import write_stage
 
@@ -41,9 +41,13 @@ BANDS, ROWS = 20, 5
 #: The first rounds look at so many bands only.
 FIRST_BANDS, FIRST_ROUNDS = 3, 2
 #: Pairs left apart for each different text from which another round is worth its cost, and up to which a slow round is the last.
-FEW, MANY = 2, 8
+FEW, MANY = 2, 100
 #: A round that leaves more than this share of the pairs apart is slow.
 SLOW = 0.9
+#: Different texts of which one task handles the keys in a round; small tables are written by few tasks, large ones by more.
+NODES_A_TASK = 20_000
+#: Texts of a group when pairs are verified, and shingles that a task keeps beyond those of the pair at hand.
+CELL, HELD_SHINGLES = 64, 200_000
 _FACTORS = np.random.default_rng(20).integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint32) | np.uint32(1)
 _MASKS = np.random.default_rng(21).integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint32)
 
@@ -98,25 +102,51 @@ def _may_reach(n: Column, m: Column, similarity: float) -> Column:
 
 
 def verified(pairs: DataFrame, texts: DataFrame, words: int, similarity: float) -> DataFrame:
-    """The pairs (a, b, ...) whose texts have at least this similarity."""
-    asked = write_stage(pairs.select(F.col("a").alias("node")).unionAll(pairs.select(F.col("b").alias("node"))).distinct(), "asked")
-    asked = write_stage(texts.join(asked, "node", "left_semi"), "asked-texts")
-    both = pairs.join(asked.select(F.col("node").alias("a"), F.col("text").alias("left")), "a")
-    both = both.join(asked.select(F.col("node").alias("b"), F.col("text").alias("right")), "b")
+    """The pairs (a, b, ...) whose texts have at least this similarity.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: tuple[bytes, set] = (b"", set())  # pairs of one hub tend to come together
-        for batch in small_batches(batches, "left"):
-            keep = []
-            for left, right in zip(texts_of(batch, "left"), texts_of(batch, "right")):
-                if right != held[0]:
-                    held = right, shingles(right, words)
-                a, b = shingles(left, words), held[1]
-                common = len(a & b)
-                keep.append(common >= similarity * (len(a) + len(b) - common))
-            yield batch.drop_columns(["left", "right"]).filter(pa.array(keep, pa.bool_()))
+    Nodes are dealt into groups of about ``CELL``; a cell holds the pairs of two groups and each of
+    their texts once, so many pairs among few texts do not carry a text each.
+    """
+    asked = pairs.select(F.col("a").alias("node")).unionAll(pairs.select(F.col("b").alias("node")))
+    asked = write_stage(split_by_keys(texts, asked, "node")[0], "asked-texts")
+    groups, columns = 1 + asked.count() // CELL, pairs.columns
+    group = lambda node: F.pmod(F.xxhash64(node), F.lit(groups))
+    celled = pairs.select((group("a") * groups + group("b")).alias("cell"), F.struct(*columns).alias("pair"))
+    ends = celled.select("cell", F.col("pair.a").alias("node")).unionAll(celled.select("cell", F.col("pair.b").alias("node"))).distinct()
+    rows = ends.join(asked, "node").select("cell", "node", "text").unionByName(celled, allowMissingColumns=True)
 
-    return write_stage(both.select(*pairs.columns, "left", "right").mapInArrow(run, pairs.schema), "links")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cell, held, sets, size = None, {}, {}, 0  # texts of the cell, and shingles of some of them
+
+        def of(node: object) -> set[bytes]:
+            nonlocal size
+            if node not in sets:
+                if size > HELD_SHINGLES:
+                    sets.clear()
+                    size = 0
+                sets[node] = shingles(held[node], words)
+                size += len(sets[node])
+            return sets[node]
+
+        for batch in batches:
+            ends, keep = batch.column("pair"), []
+            a, b = (pc.struct_field(ends, c).to_pylist() for c in "ab")
+            for at, (now, node, text) in enumerate(zip(batch.column("cell").to_pylist(), batch.column("node").to_pylist(), texts_of(batch))):
+                if now != cell:
+                    cell, held, size = now, {}, 0
+                    sets.clear()
+                if node is not None:
+                    held[node] = text
+                    continue
+                left, right = of(a[at]), of(b[at])
+                common = len(left & right)
+                if common >= similarity * (len(left) + len(right) - common):
+                    keep.append(at)
+            yield pa.record_batch(ends.take(pa.array(keep, pa.int64())).flatten(), columns)
+
+    # a cell's texts (without a pair) come before its pairs
+    rows = rows.repartition("cell").sortWithinPartitions("cell", "pair")
+    return write_stage(rows.mapInArrow(run, pairs.schema), "links")
 
 
 def _relabelled(now: DataFrame, found: DataFrame) -> DataFrame:
@@ -159,30 +189,31 @@ def links_of(rows: DataFrame, nodes: DataFrame, words: int, similarity: float) -
     texts = rows.select(F.col("place").alias("node"), "text")
     links = print_links(nodes, texts, words, similarity)
     tried, total, held = links, nodes.count(), shared_keys(nodes)
-    now = write_stage(held.select("node", F.col("node").alias("component")).distinct(), "labelled")
+    tasks = 1 + total // NODES_A_TASK
+    now = write_stage(held.select("node", F.col("node").alias("component")).distinct().coalesce(tasks), "labelled")
     # only nodes with a shared key are asked for again, so the rounds do not read the other texts
-    texts = write_stage(texts.join(now.select("node"), "node", "left_semi"), "shared-texts")
+    texts = write_stage(split_by_keys(texts, now.select("node"), "node")[0], "shared-texts")
     known = links.select("a", "b", F.col("a").alias("ca"), F.col("b").alias("cb"))
-    now = write_stage(_relabelled(now, known), "labelled")
+    now = write_stage(_relabelled(now, known).coalesce(tasks), "labelled")
     before = float("inf")
     for attempt in range(1 << 30):
         # the first rounds look at few bands, which connect most of a large group of near copies
         bands = FIRST_BANDS if attempt < FIRST_ROUNDS else BANDS
         postings = held.filter(F.col("band") < bands).join(now, "node")
         pick = F.min(F.struct(F.xxhash64("node", F.lit(attempt)).alias("place"), "node", "n", "component")).alias("pick")
-        reps = write_stage(postings.groupBy("key", "component").agg(pick, F.count(F.lit(1)).alias("m")), "reps")
+        reps = write_stage(postings.coalesce(tasks).groupBy("key", "component").agg(pick, F.count(F.lit(1)).alias("m")).coalesce(tasks), "reps")
         apart = F.pow(F.sum("m"), 2) - F.sum(F.pow("m", F.lit(2)))
-        hubs = write_stage(reps.groupBy("key").agg(F.min("pick").alias("hub"), apart.alias("apart")).filter("apart > 0"), "hubs")
+        hubs = write_stage(reps.groupBy("key").agg(F.min("pick").alias("hub"), apart.alias("apart")).filter("apart > 0").coalesce(tasks), "hubs")
         if attempt >= FIRST_ROUNDS:
             left = (hubs.agg(F.sum("apart")).first()[0] or 0) / 2
             if left <= FEW * total or (left > SLOW * before and left <= MANY * total):
                 break
             before = left
-        around = reps.join(hubs, "key").filter(F.col("pick.node") != F.col("hub.node")).filter(_may_reach(F.col("pick.n"), F.col("hub.n"), similarity))
+        around = reps.join(hubs, "key").coalesce(tasks).filter(F.col("pick.node") != F.col("hub.node")).filter(_may_reach(F.col("pick.n"), F.col("hub.n"), similarity))
         ends = F.struct("pick.node", "pick.component").alias("x"), F.struct("hub.node", "hub.component").alias("y")
-        around = around.select(*ends).select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
+        around = around.select(*ends).select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct().coalesce(tasks)
         pairs = around.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"), F.col("x.component").alias("ca"), F.col("y.component").alias("cb"))
-        pairs = write_stage(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
+        pairs = write_stage(pairs.join(tried, ["a", "b"], "left_anti").coalesce(tasks), "pairs")
         tried = tried.unionAll(pairs.select("a", "b"))
         found = verified(pairs, texts, words, similarity)
         if found.isEmpty():
@@ -190,7 +221,7 @@ def links_of(rows: DataFrame, nodes: DataFrame, words: int, similarity: float) -
                 break
             continue
         links = links.unionAll(found.select("a", "b"))
-        now = write_stage(_relabelled(now, found), "labelled")
+        now = write_stage(_relabelled(now, found).coalesce(tasks), "labelled")
     postings = write_stage(held.join(now, "node"), "postings")
     apart = postings.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("key")
     shared = write_stage(postings.join(apart, "key", "left_semi"), "shared")
@@ -235,7 +266,10 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     Groups are those of ``near_duplicates``.  Rows are told apart by their place, so a group
     of repeated rows, or of rows without keys, keeps exactly one, and keys that clash drop nothing.
+    Whole rows are shuffled only where the bit table of dropped places leaves it open whether they stay.
     """
     rows = signatures(docs, words, id_col, text_col)
-    kept = write_stage(_named(rows, words, similarity).select("first.place").distinct(), "kept")
-    return rows.select("row", "place").join(kept, "place", "left_semi").select("row.*")
+    kept = _named(rows, words, similarity).select("first.place").distinct()
+    dropped = write_stage(rows.select("place").join(kept, "place", "left_anti"), "dropped")
+    asked, staying = split_by_keys(rows.select("row", "place"), dropped, "place")
+    return staying.unionAll(asked.join(dropped, "place", "left_anti").select("row", "place")).select("row.*")

@@ -163,12 +163,11 @@ def contamination(
     spans = runs.groupBy("row", "run").agg(F.min("first").alias("first"), F.max("stop").alias("stop"))
     spans = spans.groupBy("row").agg(F.sum(F.col("stop") - F.col("first")).alias("n_hit"), F.sort_array(F.collect_list(F.struct("first", "stop"))).alias("spans"))
     named = asked.select("row", *on).distinct().join(tests, on).groupBy("row").agg(F.sort_array(F.collect_set("item_id")).alias("items"))
-    return (
-        rows.select("row", "doc_id", "n_words")
-        .join(spans.join(named, "row"), "row", "left")
-        .select(
-            "doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
-            F.coalesce("items", F.array().cast("array<string>")).alias("items"),
-            F.coalesce("spans", F.array().cast("array<struct<first:int,stop:int>>")).alias("spans"),
-        )
+    # rows without a candidate have no hits, so only the others, keys and all, are shuffled
+    hit = rows.filter(F.size("found") > 0).select("row", "doc_id", "n_words").join(spans.join(named, "row"), "row", "left")
+    clear = rows.filter(F.size("found") <= 0).select("row", "doc_id", "n_words")
+    return clear.unionByName(hit, allowMissingColumns=True).select(
+        "doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
+        F.coalesce("items", F.array().cast("array<string>")).alias("items"),
+        F.coalesce("spans", F.array().cast("array<struct<first:int,stop:int>>")).alias("spans"),
     )

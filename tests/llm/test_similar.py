@@ -7,6 +7,7 @@ import pytest
 import corpus_pipeline
 from pyspark.sql import functions as F
 
+from cellweave.llm import common
 from cellweave.llm import components as component_steps
 from cellweave.llm import simhash, similar
 from cellweave.session import write_stage
@@ -148,3 +149,38 @@ def test_pipeline_holds_arrow_batches_small(spark, docs):
             assert int(spark.conf.get(setting)) == kept
     finally:
         spark.conf.set(setting, before)
+
+
+def test_rows_are_split_by_a_bit_table(spark, monkeypatch):
+    rows, keys = spark.range(500).withColumn("text", F.lit("t")), spark.range(0, 500, 7).toDF("key")
+    for bits in (24, 7):  # 128 bits are shared by many keys
+        monkeypatch.setattr(common, "KEY_BITS", bits)
+        asked, others = common.split_by_keys(rows, keys, "id")
+        asked, others = ({r.id for r in part.collect()} for part in (asked, others))
+        assert asked >= set(range(0, 500, 7)) and asked | others == set(range(500)) and not asked & others
+    asked, others = common.split_by_keys(rows, keys.filter("false"), "id")
+    assert asked.isEmpty() and others.count() == 500 and others.columns == rows.columns
+
+
+@pytest.mark.parametrize("cell, shingles_held", [(64, 200_000), (7, 100), (1, 0)])
+def test_pairs_are_verified_cell_by_cell(spark, monkeypatch, cell, shingles_held):
+    monkeypatch.setattr(similar, "CELL", cell)
+    monkeypatch.setattr(similar, "HELD_SHINGLES", shingles_held)
+    texts = [" ".join([f"w{i}" for i in range(60)] + [f"x{k % 4}y{i}" for i in range(30)]) for k in range(40)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "node long, text string")
+    pairs = [(a, b) for a in range(40) for b in range(a)]
+    found = similar.verified(spark.createDataFrame(pairs, "a long, b long"), rows, 5, 0.8)
+    assert sorted(map(tuple, found.collect())) == [(a, b) for a, b in pairs if a % 4 == b % 4]
+    assert similar.verified(spark.createDataFrame([], "a long, b long"), rows, 5, 0.8).isEmpty()
+
+
+def test_small_graphs_shuffle_nothing(spark, monkeypatch):
+    edges = [(i, i + 1) for i in range(30)] + [(50, 40), (41, 50)]
+    staged = []
+    monkeypatch.setattr(component_steps, "write_stage", lambda df, label: staged.append(df.rdd.getNumPartitions()) or write_stage(df, label))
+    for small in (1 << 17, 0):
+        monkeypatch.setattr(component_steps, "SMALL", small)
+        staged.clear()
+        found = component_steps.components(spark.createDataFrame(edges, "u long, v long"))
+        assert {tuple(r) for r in found.collect()} == {(i, 0) for i in range(31)} | {(i, 40) for i in (40, 41, 50)}
+        assert len(staged) > 1 and (not small or set(staged[1:]) == {1})
